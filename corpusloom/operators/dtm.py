@@ -28,6 +28,17 @@ def term_stats(dtm: DataFrame) -> DataFrame:
     )
 
 
+def document_frequencies(docs: DataFrame, toks: str = "toks") -> DataFrame:
+    """(term, doc_freq) straight from the token arrays.
+
+    Nothing per (document, term) is shuffled: each task sends one partial count per term.
+    """
+    once = docs.select(F.explode_outer(F.array_distinct(toks)).alias("term"))
+    return once.where(F.col("term").isNotNull()).groupBy("term").agg(
+        F.count(F.lit(1)).alias("doc_freq")
+    )
+
+
 def row_count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.operators.lineage import cut
+
 HOT_SHARE = 0.001
 SALTS = 32
 
@@ -24,6 +26,7 @@ def salted_lookup(
     least `hot_share` of all rows is spread over `salts` partitions. At most
     1 / hot_share keys can be that heavy, which bounds the broadcast list of them.
     """
+    table = cut(table)  # read three times below
     total = table.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) >= total * F.lit(hot_share)
     hot = table.where(is_hot).select(key, F.lit(True).alias("_hot"))
@@ -31,5 +34,5 @@ def salted_lookup(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0))
     )
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = table.withColumn("_salt", F.explode(copies).cast("bigint"))
+    right = table.withColumn("_salt", F.explode(copies.cast("array<bigint>")))
     return left.drop("_hot").join(right, [key, "_salt"], how).drop("_salt")

@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpusloom.operators.lineage import cut
+
 RANGES = 64
 
 
@@ -24,7 +26,10 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
 
 
 def cumulative(counts: DataFrame, by: Sequence[str] = (), ranges: int = RANGES) -> DataFrame:
-    """Add to (by, value, n): `cum` = rows up to and with value, `total` = rows of the group."""
+    """Add to (by, value, n): `cum` = rows up to and with value, `total` = rows of the group.
+
+    `counts` is read three times, so it should be a written table (see lineage.cut).
+    """
     by = list(by)
     cuts = F.percentile_approx("value", [i / ranges for i in range(1, ranges)], 10_000)
     if by:
@@ -63,7 +68,7 @@ def order_statistics(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Interpolated values at 1-based positions, each given as a function of the row count."""
-    return pick(cumulative(value_counts(df, value, by), by), positions, by)
+    return pick(cumulative(cut(value_counts(df, value, by)), by), positions, by)
 
 
 def pick(

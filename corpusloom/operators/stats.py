@@ -8,13 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions import text as X
+from corpusloom.operators.lineage import cut
 from corpusloom.operators.order_stats import (
     cumulative,
     hinge_position,
     order_statistics,
     pick,
     quantile_position,
-    quantiles,
     value_counts,
 )
 
@@ -32,21 +32,24 @@ def corpus_stats(posts: DataFrame, text: str = "text") -> DataFrame:
 
 
 def group_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Count, sum, mean, median, min and max per group."""
-    plain = df.groupBy(group).agg(
-        F.count(value).alias("cnt"),
-        F.sum(value).alias("total"),
-        F.avg(value).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    """Count, sum, mean, median, min and max per group, from the counted values."""
+    counts = cut(value_counts(df, value, [group]))
+    n, v = F.col("n"), F.col("value")
+    plain = counts.groupBy(group).agg(
+        F.sum(n).alias("cnt"),
+        F.sum(v * n).alias("total"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
     )
-    medians = quantiles(df, value, {"median": 0.5}, [group]).drop("n")
-    return plain.join(medians, group)
+    median = {"median": quantile_position(0.5)}
+    return plain.join(pick(cumulative(counts, [group]), median, [group]).drop("n"), group)
 
 
 def six_numbers(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Minimum, quartiles, mean and maximum in one pass over the value counts."""
-    ranked = cumulative(value_counts(df, value, by), by)
+    counts = cut(value_counts(df, value, by))
+    ranked = cumulative(counts, by)
     at = {
         "min": quantile_position(0.0),
         "q1": quantile_position(0.25),
@@ -55,7 +58,7 @@ def six_numbers(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         "max": quantile_position(1.0),
     }
     # the mean rides along as the weighted mean of the counted values
-    means = value_counts(df, value, by).groupBy(*by).agg(
+    means = counts.groupBy(*by).agg(
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
     )
     picked = pick(ranked, at, by)
@@ -67,9 +70,9 @@ def six_numbers(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 def boxplot_numbers(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Hinges, median, whisker ends (most extreme values inside the fences)."""
     by = list(by)
-    ranked = cumulative(value_counts(df, value, by), by)
+    counts = cut(value_counts(df, value, by))
     h = pick(
-        ranked,
+        cumulative(counts, by),
         {
             "lower_hinge": hinge_position(False),
             "median": quantile_position(0.5),
@@ -81,7 +84,6 @@ def boxplot_numbers(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFr
     h = h.withColumn("lower_fence", F.col("lower_hinge") - 1.5 * spread).withColumn(
         "upper_fence", F.col("upper_hinge") + 1.5 * spread
     )
-    counts = value_counts(df, value, by)
     if by:
         joined = counts.join(h.drop("n"), by)
     else:
@@ -129,7 +131,7 @@ def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
 
     Ranks come from counts per distinct value, never from sorting rows in one task.
     """
-    per = value_counts(df.where(F.col(group).isNotNull()), value, [group])
+    per = cut(value_counts(df.where(F.col(group).isNotNull()), value, [group]))
     merged = per.groupBy("value").agg(F.sum("n").alias("n"))
     ranks = cumulative(merged).select(
         "value",
@@ -146,7 +148,7 @@ def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
             F.first("total").alias("total"),
         )
     )
-    ties = ranks.agg(F.sum(F.pow("tied", F.lit(3)) - F.col("tied"))).scalar()
+    ties = merged.agg(F.sum(F.pow("n", F.lit(3)) - F.col("n"))).scalar()
     n = F.first("total").cast("double")
     raw = 12.0 / (n * (n + 1)) * F.sum(F.col("r") * F.col("r") / F.col("m")) - 3 * (n + 1)
     out = groups.agg(
