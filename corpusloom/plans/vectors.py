@@ -1 +1,121 @@
-"""Queries."""
+"""Document vectors: word-vector features, similarity, neighbours, cluster statistics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusloom.functions import text as X
+from corpusloom.operators import cluster_eval as CE, similarity as SIM
+from corpusloom.plans.catalog import query
+from corpusloom.plans.tables import table
+
+DIMS = 64
+
+EMB_SQL = "e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
+PEARSON_SQL = """e AS (SELECT vec_id, label, list_transform(v, lambda x: x - list_avg(v)) AS v
+  FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings))"""
+
+
+def vectors(spark, sf):
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+
+
+def _top_sql(vectors_sql: str, measure: str, k: int = 10) -> str:
+    return f"""WITH {vectors_sql},
+    p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_dot_product(a.v, b.v) AS xy,
+          list_dot_product(a.v, a.v) AS xx, list_dot_product(b.v, b.v) AS yy FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+    s AS (SELECT i, j, round({measure}, 9) AS s FROM p)
+    SELECT i, j, round(s, 6) AS s, row_number() OVER (PARTITION BY i ORDER BY s DESC, j)::INTEGER AS rank FROM s
+    QUALIFY rank <= {k}"""
+
+
+def _top(spark, sf, measure, k=10):
+    return SIM.neighbours(vectors(spark, sf), k, measure).withColumn("s", F.round("s", 6))
+
+
+@query("sim_cosine", _top_sql(EMB_SQL, "xy / sqrt(xx * yy)"))
+def sim_cosine(spark, sf):
+    return _top(spark, sf, "cosine")
+
+
+@query("sim_pearson", _top_sql(PEARSON_SQL, "xy / sqrt(xx * yy)"))
+def sim_pearson(spark, sf):
+    return _top(spark, sf, "pearson")
+
+
+@query("sim_ejaccard", _top_sql(EMB_SQL, "xy / (xx + yy - xy)"))
+def sim_ejaccard(spark, sf):
+    return _top(spark, sf, "ejaccard")
+
+
+@query(
+    "dist_topk",
+    f"""WITH t AS ({_top_sql(EMB_SQL, "xy / sqrt(xx * yy)", 5)}) SELECT i, j, round(1 - s, 6) AS d, rank FROM t
+    UNION ALL SELECT vec_id, vec_id, 0.0, 0 FROM embeddings""",
+)
+def dist_topk(spark, sf):
+    """Distances 1 - s to the nearest five; the diagonal is 0."""
+    near = _top(spark, sf, "cosine", 5).select("i", "j", F.round(1 - F.col("s"), 6).alias("d"), "rank")
+    self_rows = vectors(spark, sf).select(
+        F.col("id").alias("i"), F.col("id").alias("j"), F.lit(0.0).alias("d"), F.lit(0).alias("rank")
+    )
+    return near.unionByName(self_rows)
+
+
+@query(
+    "cosine_to_group_mean",
+    f"""WITH {EMB_SQL}, m AS (SELECT label, d, avg(x) AS x FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM e) GROUP BY label, d),
+    c AS (SELECT label, list(x ORDER BY d) AS c FROM m GROUP BY label)
+    SELECT vec_id, round(list_dot_product(v, c) / sqrt(list_dot_product(v, v) * list_dot_product(c, c)), 6) AS s FROM e JOIN c USING (label)""",
+)
+def cosine_to_group_mean(spark, sf):
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", X.doubles(F.col("embedding")).alias("v"))
+    means = rows.groupBy("label").agg(*[F.avg(F.col("v")[d]).alias(f"_{d}") for d in range(DIMS)])
+    means = means.select("label", F.array(*[f"_{d}" for d in range(DIMS)]).alias("c"))
+    return rows.join(means, "label").select("vec_id", F.round(X.cosine(F.col("v"), F.col("c")), 6).alias("s"))
+
+
+# --- cluster statistics from vectors -----------------------------------------
+
+CLUSTERS_SQL = f"""{EMB_SQL}, c AS (SELECT vec_id, label % 4 AS cluster, v FROM e),
+pairs AS (SELECT a.vec_id AS i, b.vec_id AS j, a.cluster AS ci, b.cluster AS cj,
+  1 - list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) AS d
+  FROM c a JOIN c b ON a.vec_id <> b.vec_id),
+sizes AS (SELECT cluster, count(*) AS size FROM c GROUP BY cluster)"""
+
+
+def clustered(spark, sf):
+    return table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("doc_id"),
+        (F.col("label") % 4).alias("cluster"),
+        X.doubles(F.col("embedding")).alias("vec"),
+    )
+
+
+@query(
+    "cluster_internal_stats",
+    f"""WITH {CLUSTERS_SQL},
+    w AS (SELECT ci, avg(d) AS mean_d, sum(d * d) / 2 AS s2, max(d) AS hi FROM pairs WHERE ci = cj GROUP BY ci)
+    SELECT round((SELECT avg(d) FROM pairs WHERE ci <> cj), 6) AS average_between,
+    round((SELECT sum(mean_d * size) / sum(size) FROM w JOIN sizes ON ci = cluster), 6) AS average_within,
+    round((SELECT max(hi) FROM w), 6) AS max_diameter,
+    round((SELECT min(d) FROM pairs WHERE ci <> cj), 6) AS min_separation,
+    round((SELECT sum(s2 / size) FROM w JOIN sizes ON ci = cluster), 6) AS within_cluster_ss""",
+)
+def cluster_internal_stats(spark, sf):
+    rows = clustered(spark, sf)
+    sums = CE.cosine_distance_stats(CE.unit_vectors(rows, "vec"), DIMS)
+    ends = SIM.extreme_distances(rows.withColumnRenamed("doc_id", "id"))
+    both = sums.withColumn("_e", ends.select(F.struct("*")).scalar()).select("*", "_e.*").drop("_e")
+    return both.select(*[F.round(c, 6).alias(c) for c in both.columns])
+
+
+@query(
+    "cluster_silhouette",
+    f"""WITH {CLUSTERS_SQL}, m AS (SELECT i, ci, cj, avg(d) AS d FROM pairs GROUP BY i, ci, cj),
+    ab AS (SELECT i, ci, max(CASE WHEN ci = cj THEN d END) AS a, min(CASE WHEN ci <> cj THEN d END) AS b FROM m GROUP BY i, ci)
+    SELECT ci AS cluster, count(*) AS size, round(avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0)), 6) AS avg_width FROM ab GROUP BY ci""",
+)
+def cluster_silhouette(spark, sf):
+    rows = CE.unit_vectors(clustered(spark, sf), "vec")
+    return CE.cosine_silhouettes(rows, DIMS).withColumn("avg_width", F.round("avg_width", 6))
