@@ -1,2 +1,10 @@
 """Corpus analytics on Spark: cleaning, term weighting, similarity, clustering,
 topics, classification and keyword extraction, as functions from DataFrame to DataFrame."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no copy
+# of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

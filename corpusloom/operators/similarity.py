@@ -13,11 +13,11 @@ What reaches the driver: at most MAX_PIVOTS pivots and cell summaries.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.functions.text import unit_hash
 from corpusloom.operators.joins import salted_lookup
@@ -26,9 +26,14 @@ from corpusloom.operators.lineage import cut
 MAX_PIVOTS = 2048
 BLOCK = 1024
 DIGITS = 9
+NOTHING = -1e30
 MEASURES = ("cosine", "pearson", "ejaccard")
 
 
+def _by_i():
+    return Window.partitionBy("i").orderBy(F.desc("s"), "j")
+
+
 def _matrix(rows) -> np.ndarray:
     return np.array([np.asarray(r, dtype=np.float64) for r in rows])
 
@@ -140,13 +145,18 @@ def _side(blocks: DataFrame, prefix: str, *names: str) -> DataFrame:
     return blocks.select(*[F.col(n).alias(f"{prefix}{n}") for n in names])
 
 
-def _distinct(df: DataFrame, keep: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Split (id, vec) into one representative per distinct vector and the copies.
+def vector_content() -> Column:
+    return F.sha2(F.array_join(F.col("vec").cast("array<string>"), " "), 256)
+
 
-    Returns reps (id, copies), vectors of the representatives, members (id, members: the
-    `keep` smallest ids of a copied vector), and twins (id, rep) of copied vectors.
+def distinct_rows(
+    df: DataFrame, content: Column, keep: int
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Split rows with an id into one representative per distinct content and the copies.
+
+    Returns reps (id, copies), the rows of the representatives, members (rep, members:
+    the `keep` smallest ids of a copied row), and twins (id, rep) of copied rows.
     """
-    content = F.sha2(F.array_join(F.col("vec").cast("array<string>"), " "), 256)
     keyed = df.select("id", content.alias("_key"))
     groups = cut(
         keyed.groupBy("_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
@@ -179,7 +189,7 @@ def neighbours(
     spark = candidates.sparkSession
     own = queries is None
     candidates = candidates.select("id", F.col("vec").cast("array<double>").alias("vec"))
-    reps, vectors, members, twins = _distinct(candidates, k + 1)
+    reps, vectors, members, twins = distinct_rows(candidates, vector_content(), k + 1)
     pivots = _pick_pivots(vectors, reps.count(), measure)
     right = cut(_assign(vectors, pivots, measure))
     right_cells = _cells(right)
@@ -188,7 +198,7 @@ def neighbours(
         q_reps, q_twins, left, left_cells, l_blocks = reps, twins, right, right_cells, r_blocks
     else:
         queries = queries.select("id", F.col("vec").cast("array<double>").alias("vec"))
-        q_reps, q_vectors, _, q_twins = _distinct(queries, 1)
+        q_reps, q_vectors, _, q_twins = distinct_rows(queries, vector_content(), 1)
         left = cut(_assign(q_vectors, pivots, measure))
         left_cells = _cells(left)
         l_blocks = cut(_blocks(left, {c: n for c, (n, _) in left_cells.items()}))
@@ -203,18 +213,93 @@ def neighbours(
                 s = _scores(lm, ln, rm, rn, measure)
                 if own:
                     s[li[:, None] == ri[None, :]] = -np.inf
-                # ids of a block are sorted, so a stable sort breaks ties by id
-                top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                best = np.take_along_axis(s, top, axis=1)
-                ok = np.isfinite(best)
-                if row["l_kth"] is not None:
-                    ok &= best >= np.asarray(row["l_kth"])[:, None]
-                i = np.repeat(li, ok.sum(axis=1))
-                yield pd.DataFrame({"i": i, "j": ri[top][ok], "s": best[ok]})
-
-    found_schema = "i bigint, j bigint, s double"
-    payload = ("ids", "norms", "mat")
-    # first round: each block with one block of its own cell
+                yield best_of(s, li, ri, k, row["l_kth"])
+
+    l_radius = {c: r for c, (_, r) in left_cells.items()}
+    r_radius = np.zeros(len(pivots))
+    for c, (_, r) in right_cells.items():
+        r_radius[c] = r
+
+    def visit(angle, c, others, kth):
+        closest = np.maximum(angle - l_radius[c] - r_radius[others], 0.0)
+        return np.cos(closest) >= _least_cosine(np.asarray(kth), measure) - 1e-7
+
+    def cell_pairs(kth: dict[int, float]) -> DataFrame:
+        return _cell_pairs(
+            spark, left_cells, right_cells, pivots, lambda angle, c, o: visit(angle, c, o, kth[c])
+        )
+
+    best = block_search(l_blocks, r_blocks, ("ids", "norms", "mat"), search, k, cell_pairs)
+    everyone = (candidates if own else queries).select("id")
+    return expand_copies(best, k, own, everyone, q_reps, q_twins, members)
+
+
+def similar_pairs(
+    df: DataFrame, least: float, measure: str = "cosine"
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs (i < j, s) of distinct vectors with s >= least, and twins (id, rep) of copies.
+
+    Copies of a vector stand behind one representative, so their pairs are not spelled out.
+    """
+    df = df.select("id", F.col("vec").cast("array<double>").alias("vec"))
+    reps, vectors, _, twins = distinct_rows(df, vector_content(), 1)
+    pivots = _pick_pivots(vectors, reps.count(), measure)
+    assigned = cut(_assign(vectors, pivots, measure))
+    cells = _cells(assigned)
+    blocks = cut(_blocks(assigned, {c: n for c, (n, _) in cells.items()}))
+    radius = np.zeros(len(pivots))
+    for c, (_, r) in cells.items():
+        radius[c] = r
+    need = _least_cosine(np.asarray(least), measure) - 1e-7
+
+    def visit(angle, c, others):
+        closest = np.maximum(angle - radius[c] - radius[others], 0.0)
+        return (others >= c) & (np.cos(closest) >= need)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.to_dict("records"):
+                li, ri = np.asarray(row["l_ids"]), np.asarray(row["r_ids"])
+                s = _scores(
+                    np.asarray(row["l_mat"]).reshape(len(li), -1), np.asarray(row["l_norms"]),
+                    np.asarray(row["r_mat"]).reshape(len(ri), -1), np.asarray(row["r_norms"]),
+                    measure,
+                )
+                a, b = np.nonzero((s >= least) & (li[:, None] != ri[None, :]))
+                i, j = np.minimum(li[a], ri[b]), np.maximum(li[a], ri[b])
+                out = pd.DataFrame({"i": i, "j": j, "s": s[a, b]})
+                yield out.drop_duplicates(["i", "j"])
+
+    keys = blocks.select("cell", "chunk")
+    payload = ("cell", "chunk", "ids", "norms", "mat")
+    met = (
+        _cell_pairs(df.sparkSession, cells, cells, pivots, visit)
+        .select(F.col("cell").alias("l_cell"), F.col("other").alias("r_cell"))
+        .join(_side(keys, "l_", "cell", "chunk"), "l_cell")
+        .join(_side(keys, "r_", "cell", "chunk"), "r_cell")
+        .where((F.col("l_cell") < F.col("r_cell")) | (F.col("l_chunk") <= F.col("r_chunk")))
+        .join(_side(blocks, "l_", *payload), ["l_cell", "l_chunk"])
+        .join(_side(blocks, "r_", *payload), ["r_cell", "r_chunk"])
+    )
+    return met.mapInPandas(search, "i bigint, j bigint, s double"), twins
+
+
+def block_search(
+    l_blocks: DataFrame,
+    r_blocks: DataFrame,
+    payload: tuple[str, ...],
+    search: Callable,
+    k: int,
+    cell_pairs: Callable[[dict[int, float]], DataFrame],
+) -> DataFrame:
+    """(i, j, s): the k best j per i over pairs of blocks, in two rounds.
+
+    Blocks are (cell, chunk, ids, ...). `search` turns rows holding a left and a right
+    block into (i, j, s), at most k per i and block, none below `l_kth` where given. The
+    first round pairs a block with one block of its cell; the k-th best similarity of
+    each i then decides through `cell_pairs` which cells the second round visits.
+    """
+    schema = "i bigint, j bigint, s double"
     parts = r_blocks.groupBy("cell").agg(F.count(F.lit(1)).alias("_parts"))
     l_keys, r_keys = l_blocks.select("cell", "chunk"), r_blocks.select("cell", "chunk")
     first = l_keys.join(parts, "cell").select(
@@ -232,37 +317,14 @@ def neighbours(
     plain_left = _side(l_blocks, "l_", "cell", "chunk", *payload).withColumn(
         "l_kth", F.lit(None).cast("array<double>")
     )
-    near = cut(with_payload(first, plain_left).mapInPandas(search, found_schema))
-    kth = near.groupBy("i").agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("s")).otherwise(F.lit(-2.0)).alias("kth")
-    )
-    left_kth = cut(
-        left.select("id", "cell", F.col("norm"), "unit")
-        .join(kth.withColumnRenamed("i", "id"), "id", "left")
-        .select("id", "cell", F.coalesce("kth", F.lit(-2.0)).alias("kth"))
-    )
-    needed = {
-        r["cell"]: r["kth"] for r in left_kth.groupBy("cell").agg(F.min("kth").alias("kth")).collect()
-    }
-    l_radius = {c: r for c, (_, r) in left_cells.items()}
-    r_radius = np.zeros(len(pivots))
-    for c, (_, r) in right_cells.items():
-        r_radius[c] = r
-
-    def visit(angle, c, others):
-        closest = np.maximum(angle - l_radius[c] - r_radius[others], 0.0)
-        return np.cos(closest) >= _least_cosine(np.asarray(needed[c]), measure) - 1e-7
-
-    pairs = _cell_pairs(spark, list(left_cells), list(right_cells), pivots, visit)
-    second = (
-        pairs.select(F.col("cell").alias("l_cell"), F.col("other").alias("r_cell"))
-        .join(_side(l_keys, "l_", "cell", "chunk"), "l_cell")
-        .join(_side(r_keys, "r_", "cell", "chunk"), "r_cell")
-        .join(first, ["l_cell", "l_chunk", "r_cell", "r_chunk"], "left_anti")
+    near = cut(with_payload(first, plain_left).mapInPandas(search, schema))
+    kth = near.groupBy(F.col("i").alias("id")).agg(
+        F.when(F.count(F.lit(1)) >= k, F.min("s")).otherwise(F.lit(NOTHING)).alias("kth")
     )
-    kth_of_block = (
-        l_blocks.select("cell", "chunk", F.posexplode("ids").alias("_p", "id"))
-        .join(left_kth.select("id", "kth"), "id")
+    members = l_blocks.select("cell", "chunk", F.posexplode("ids").alias("_p", "id"))
+    kth_of_block = cut(
+        members.join(kth, "id", "left")
+        .withColumn("kth", F.coalesce("kth", F.lit(NOTHING)))
         .groupBy("cell", "chunk")
         .agg(
             F.transform(
@@ -270,32 +332,67 @@ def neighbours(
             ).alias("kth")
         )
     )
-    full_left = l_blocks.join(kth_of_block, ["cell", "chunk"])
-    far = with_payload(
-        second, _side(full_left, "l_", "cell", "chunk", *payload, "kth")
-    ).mapInPandas(search, found_schema)
-    by_i = Window.partitionBy("i").orderBy(F.desc("s"), "j")
-    best = (
+    needed = kth_of_block.groupBy("cell").agg(F.min(F.array_min("kth")).alias("kth")).collect()
+    second = (
+        cell_pairs({r["cell"]: r["kth"] for r in needed})
+        .select(F.col("cell").alias("l_cell"), F.col("other").alias("r_cell"))
+        .join(_side(l_keys, "l_", "cell", "chunk"), "l_cell")
+        .join(_side(r_keys, "r_", "cell", "chunk"), "r_cell")
+        .join(first, ["l_cell", "l_chunk", "r_cell", "r_chunk"], "left_anti")
+    )
+    full_left = _side(
+        l_blocks.join(kth_of_block, ["cell", "chunk"]), "l_", "cell", "chunk", *payload, "kth"
+    )
+    far = with_payload(second, full_left).mapInPandas(search, schema)
+    return (
         near.unionByName(far)
-        .withColumn("_r", F.row_number().over(by_i))
+        .withColumn("_r", F.row_number().over(_by_i()))
         .where(F.col("_r") <= k)
         .drop("_r")
     )
-    # copies: expand a neighbour to its smallest ids, then a query to all its copies
+
+
+def best_of(s: np.ndarray, li, ri, k: int, kth) -> pd.DataFrame:
+    """The k best columns per row of a score matrix as (i, j, s).
+
+    Ids of a block are sorted, so a stable sort breaks ties by id.
+    """
+    top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+    best = np.take_along_axis(s, top, axis=1)
+    ok = np.isfinite(best)
+    if kth is not None:
+        ok &= best >= np.asarray(kth)[:, None]
+    return pd.DataFrame({"i": np.repeat(li, ok.sum(axis=1)), "j": ri[top][ok], "s": best[ok]})
+
+
+def expand_copies(
+    best: DataFrame,
+    k: int,
+    own: bool,
+    everyone: DataFrame,
+    reps: DataFrame,
+    twins: DataFrame,
+    members: DataFrame,
+    self_score: float = 1.0,
+) -> DataFrame:
+    """From representatives to all rows: a neighbour stands for its smallest ids, and the
+    finished list of a representative is handed to all its copies."""
     if own:
-        best = best.unionByName(members.select(F.col("rep").alias("i"), F.col("rep").alias("j"), F.lit(1.0).alias("s")))
+        itself = members.select(
+            F.col("rep").alias("i"), F.col("rep").alias("j"), F.lit(self_score).alias("s")
+        )
+        best = best.unionByName(itself)
     expanded = best.join(members.withColumnRenamed("rep", "j"), "j", "left").select(
         "i", F.explode(F.coalesce("members", F.array("j"))).alias("j"), "s"
     )
     lists = (
-        expanded.withColumn("_r", F.row_number().over(by_i))
+        expanded.withColumn("_r", F.row_number().over(_by_i()))
         .where(F.col("_r") <= k + 1)
         .groupBy(F.col("i").alias("rep"))
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("n"), "j"))).alias("list"))
     )
-    everyone = (candidates if own else queries).select("id")
-    of = everyone.join(q_twins, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
-    table = lists.join(q_reps.withColumnRenamed("id", "rep"), "rep")
+    of = everyone.join(twins, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
+    table = lists.join(reps.withColumnRenamed("id", "rep"), "rep")
     found = salted_lookup(of, table, "rep", "copies", F.col("id"))
     others = F.filter("list", lambda x: x["j"] != F.col("id")) if own else F.col("list")
     return found.select(
@@ -312,11 +409,10 @@ def extreme_distances(df: DataFrame) -> DataFrame:
     that can hold a better pair are compared, and a pair of blocks returns two numbers.
     """
     spark = df.sparkSession
-    vec = F.col("vec").cast("array<double>")
-    content = F.sha2(F.array_join(vec.cast("array<string>"), " "), 256)
-    keyed = df.select("id", "cluster", vec.alias("vec"), content.alias("_key"))
+    rows = df.select("id", "cluster", F.col("vec").cast("array<double>").alias("vec"))
+    keyed = rows.withColumn("_key", vector_content())
     once = keyed.groupBy("cluster", "_key").agg(F.min("id").alias("id"))
-    rows = keyed.select("id", "cluster", "vec").join(once.select("id"), "id", "left_semi")
+    rows = rows.join(once.select("id"), "id", "left_semi")
     n = df.count()
     want = int(min(MAX_PIVOTS, max(1, round(n**0.5))))
     picked = rows.orderBy(unit_hash(1, F.col("id"))).limit(want).select("vec", "cluster").collect()

@@ -1 +1,199 @@
-"""Queries."""
+"""Queries whose result is a fitted model; checked by rows and by properties in the tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusloom.functions import text as X
+from corpusloom.functions.stem import stem_table
+from corpusloom.functions.words import TOPIC_STOPWORDS
+from corpusloom.operators import classify as C, clusters as AP, dtm as D, lsa, tokens as T, topics as LDA
+from corpusloom.operators.joins import salted_lookup
+from corpusloom.operators.lineage import cut
+from corpusloom.operators.similarity import similar_pairs
+from corpusloom.operators.split import random_split, stratified_split
+from corpusloom.plans.catalog import query
+from corpusloom.plans.tables import documents, n_docs, table
+from corpusloom.plans.vectors import vectors
+
+FACTORS = 10
+
+
+def _stemmed(docs, keep=()):
+    """Counts per stem: distinct terms are stemmed once, then joined back."""
+    counts = cut(D.document_terms(T.topic_tokens(T.colocate(docs)), keep=keep))
+    stems = stem_table(D.term_stats(counts))
+    joined = salted_lookup(counts, stems.select("term", "stem", "doc_freq"), "term", "doc_freq", F.col("doc_id"))
+    return joined.groupBy("doc_id", *keep, "doc_len", F.col("stem").alias("term")).agg(F.sum("tf").alias("tf"))
+
+
+@query("stemmed_dtm")
+def stemmed_dtm(spark, sf):
+    return _stemmed(documents(spark, sf, "doc_id", "text")).select("doc_id", "term", "tf")
+
+
+def _weights(spark, sf):
+    """Train and test TF-IDF over the training terms above the 0.99 quantile."""
+    docs = random_split(documents(spark, sf, "doc_id", "text"), "doc_id")
+    counts = cut(D.document_terms(T.classify_tokens(T.colocate(docs)), keep=["split"]))
+    train = counts.where(F.col("split") == "train")
+    test = counts.where(F.col("split") == "test")
+    n = D.row_count(docs.where(F.col("split") == "train"))
+    chosen = cut(D.terms_above(D.tfidf_totals(train, n), "weight", 0.99))
+    full = D.project(train, chosen, n, denominator="full")
+    return full.select("doc_id", "term", "w"), D.project(test, chosen, n).select("doc_id", "term", "w")
+
+
+def _long(df):
+    return df.select("doc_id", F.posexplode("features").alias("dim", "value"))
+
+
+@query("lsa_features")
+def lsa_features(spark, sf):
+    train, _ = _weights(spark, sf)
+    return _long(lsa.fit(train, FACTORS).documents)
+
+
+@query("lsa_foldin")
+def lsa_foldin(spark, sf):
+    """Test documents in the space of the training documents."""
+    train, test = _weights(spark, sf)
+    return _long(lsa.fit(train, FACTORS).fold_in(test))
+
+
+# --- topics --------------------------------------------------------------------
+
+
+def topic_input(spark, sf):
+    """Vectors of train and test documents over the selected stems, and the vocabulary."""
+    docs = random_split(documents(spark, sf, "doc_id", "text"), "doc_id")
+    counts = cut(_stemmed(docs, keep=["split"]))
+    train = counts.where(F.col("split") == "train")
+    n = D.row_count(docs.where(F.col("split") == "train"))
+    frequent = D.tfidf_totals(train, n).where(F.col("doc_freq") >= 2)
+    chosen = D.terms_from(cut(frequent), "weight", 0.75)
+    chosen = cut(chosen.where(~F.col("term").isin(TOPIC_STOPWORDS)))
+    train, test = D.keep_terms(train, chosen), D.keep_terms(test_rows(counts), chosen)
+    vocabulary = lsa.vocabulary_index(train)
+    return (
+        cut(lsa.document_vectors(train, vocabulary, "tf")),
+        cut(lsa.document_vectors(test, vocabulary, "tf")),
+        vocabulary,
+    )
+
+
+def test_rows(counts):
+    return counts.where(F.col("split") == "test")
+
+
+_FIT = dict(k=4, seeds=(5, 10), max_iter=10)
+
+
+@query("lda_topics")
+def lda_topics(spark, sf):
+    """Topic shares of the training documents."""
+    train, _, _ = topic_input(spark, sf)
+    return LDA.doc_topics(LDA.fit_topics(train, **_FIT), train)
+
+
+@query("lda_top_terms")
+def lda_top_terms(spark, sf):
+    train, _, vocabulary = topic_input(spark, sf)
+    return LDA.top_terms(LDA.fit_topics(train, **_FIT), vocabulary)
+
+
+@query("lda_new_docs")
+def lda_new_docs(spark, sf):
+    """Topic shares of documents the model has not seen; those without a known term are out."""
+    train, test, _ = topic_input(spark, sf)
+    return LDA.doc_topics(LDA.fit_topics(train, **_FIT), test)
+
+
+@query("lda_perplexity_by_k")
+def lda_perplexity_by_k(spark, sf):
+    train, test, _ = topic_input(spark, sf)
+    return LDA.perplexity_by_k(train, test, [3, 4], max_iter=10)
+
+
+@query("lda_metric_table")
+def lda_metric_table(spark, sf):
+    train, _, vocabulary = topic_input(spark, sf)
+    return LDA.metrics_by_k(train, vocabulary, [3, 4], max_iter=10)
+
+
+# --- classification ----------------------------------------------------------------
+
+
+def _rows(spark, sf):
+    features = vectors(spark, sf).select(F.col("id").alias("doc_id"), X.doubles(F.col("vec")).alias("features"))
+    label = F.when(F.col("label") < 5, "low").otherwise("high").alias("label")
+    labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), label)
+    return C.feature_rows(features, labels, "label")
+
+
+@query("tree_cv")
+def tree_cv(spark, sf):
+    return C.cross_validate(_rows(spark, sf), "tree", [0.0, 0.01, 0.02], max_depth=5).results("high")
+
+
+@query("forest_cv")
+def forest_cv(spark, sf):
+    return C.cross_validate(_rows(spark, sf), "forest", [1, 8], trees=20, max_depth=5).results("high")
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    fitted = C.cross_validate(_rows(spark, sf), "forest", [8], trees=20, max_depth=5)
+    return fitted.importance().orderBy(F.desc("importance"), "feature").limit(20)
+
+
+@query("forest_predictions")
+def forest_predictions(spark, sf):
+    """Fitted on the training part, applied to the test part."""
+    rows = stratified_split(_rows(spark, sf), "label", "doc_id")
+    fitted = C.cross_validate(
+        rows.where(F.col("split") == "train").drop("split"), "forest", [8], trees=20, max_depth=5
+    )
+    return fitted.predict(rows.where(F.col("split") == "test"))
+
+
+# --- clustering --------------------------------------------------------------------
+
+_AP = dict(damping=0.7, max_rounds=30, stable_rounds=10)
+
+
+def similarity_edges(spark, sf, least=0.25):
+    rows = vectors(spark, sf)
+    pairs, twins = similar_pairs(rows, least)
+    copies = twins.where(F.col("id") != F.col("rep")).select("id")
+    points = rows.select("id").join(copies, "id", "left_anti")
+    return cut(AP.both_ways(pairs)), cut(points), twins
+
+
+@query("ap_clusters")
+def ap_clusters(spark, sf):
+    edges, points, twins = similarity_edges(spark, sf)
+    return AP.with_copies(AP.affinity_propagation(edges, q=0.5, points=points, **_AP), twins)
+
+
+@query("ap_k_clusters")
+def ap_k_clusters(spark, sf):
+    edges, points, twins = similarity_edges(spark, sf)
+    n = points.count() // 5
+    found = AP.affinity_propagation_k(edges, points, n, prc=0.3, max_runs=4, **_AP)
+    return AP.with_copies(found, twins)
+
+
+@query("ap_preference_range")
+def ap_preference_range(spark, sf):
+    edges, points, _ = similarity_edges(spark, sf)
+    return spark.createDataFrame([AP.preference_range(edges, points)], "low double, high double")
+
+
+@query("ap_agglomerate")
+def ap_agglomerate(spark, sf):
+    """The merges from the affinity propagation clusters to five fewer."""
+    edges, points, _ = similarity_edges(spark, sf)
+    found = cut(AP.affinity_propagation(edges, q=0.5, points=points, **_AP))
+    n = found.select("exemplar").distinct().count()
+    return AP.agglomerate(edges, found, n - 5)[1]

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from corpusloom.functions import text as X
-from corpusloom.operators import cluster_eval as CE, similarity as SIM
+from corpusloom.functions.words import ENGLISH_STOPWORDS
+from corpusloom.operators import (
+    cluster_eval as CE,
+    dtm as D,
+    embed as E,
+    similarity as SIM,
+    tokens as T,
+)
+from corpusloom.operators.lineage import cut
+from corpusloom.operators.order_stats import cumulative
+from corpusloom.operators.rwmd import nearest_documents
 from corpusloom.plans.catalog import query
-from corpusloom.plans.tables import table
+from corpusloom.plans.tables import WORDS_SQL, documents, q, table, words_in
 
 DIMS = 64
 
@@ -25,12 +35,12 @@ def _top_sql(vectors_sql: str, measure: str, k: int = 10) -> str:
     p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_dot_product(a.v, b.v) AS xy,
           list_dot_product(a.v, a.v) AS xx, list_dot_product(b.v, b.v) AS yy FROM e a JOIN e b ON a.vec_id <> b.vec_id),
     s AS (SELECT i, j, round({measure}, 9) AS s FROM p)
-    SELECT i, j, round(s, 6) AS s, row_number() OVER (PARTITION BY i ORDER BY s DESC, j)::INTEGER AS rank FROM s
+    SELECT i, j, s, row_number() OVER (PARTITION BY i ORDER BY s DESC, j)::INTEGER AS rank FROM s
     QUALIFY rank <= {k}"""
 
 
 def _top(spark, sf, measure, k=10):
-    return SIM.neighbours(vectors(spark, sf), k, measure).withColumn("s", F.round("s", 6))
+    return SIM.neighbours(vectors(spark, sf), k, measure)
 
 
 @query("sim_cosine", _top_sql(EMB_SQL, "xy / sqrt(xx * yy)"))
@@ -50,12 +60,12 @@ def sim_ejaccard(spark, sf):
 
 @query(
     "dist_topk",
-    f"""WITH t AS ({_top_sql(EMB_SQL, "xy / sqrt(xx * yy)", 5)}) SELECT i, j, round(1 - s, 6) AS d, rank FROM t
+    f"""WITH t AS ({_top_sql(EMB_SQL, "xy / sqrt(xx * yy)", 5)}) SELECT i, j, round(1 - s, 9) AS d, rank FROM t
     UNION ALL SELECT vec_id, vec_id, 0.0, 0 FROM embeddings""",
 )
 def dist_topk(spark, sf):
     """Distances 1 - s to the nearest five; the diagonal is 0."""
-    near = _top(spark, sf, "cosine", 5).select("i", "j", F.round(1 - F.col("s"), 6).alias("d"), "rank")
+    near = _top(spark, sf, "cosine", 5).select("i", "j", F.round(1 - F.col("s"), 9).alias("d"), "rank")
     self_rows = vectors(spark, sf).select(
         F.col("id").alias("i"), F.col("id").alias("j"), F.lit(0.0).alias("d"), F.lit(0).alias("rank")
     )
@@ -119,3 +129,106 @@ def cluster_internal_stats(spark, sf):
 def cluster_silhouette(spark, sf):
     rows = CE.unit_vectors(clustered(spark, sf), "vec")
     return CE.cosine_silhouettes(rows, DIMS).withColumn("avg_width", F.round("avg_width", 6))
+
+
+# --- features from word vectors ------------------------------------------------
+
+_STOP = words_in(ENGLISH_STOPWORDS)
+WV_SQL = f"""{WORDS_SQL},
+emb AS (SELECT doc_id, regexp_replace(lower(tok), {q(X.POSSESSIVE)}, '\\1') AS term FROM word
+  WHERE lower(tok) NOT IN ({_STOP}) AND length(lower(tok)) >= 3),
+edtm AS (SELECT doc_id, term, count(*) AS tf FROM emb GROUP BY ALL),
+tot AS (SELECT term, sum(tf) AS total FROM edtm GROUP BY term),
+wv AS (SELECT term, embedding::DOUBLE[] AS v FROM (SELECT term, row_number() OVER (ORDER BY total DESC, term) AS r FROM tot)
+  JOIN embeddings ON vec_id = r - 1),
+red AS (SELECT doc_id, term, tf, v, sum(tf) OVER (PARTITION BY doc_id) AS kept, count(*) OVER (PARTITION BY term) AS df FROM edtm JOIN wv USING (term)),
+nv AS (SELECT count(*) AS nv FROM wv), nd AS (SELECT count(*) AS nd FROM documents)"""
+
+
+def embed_dtm(spark, sf):
+    docs = T.colocate(documents(spark, sf, "doc_id", "text"))
+    return D.document_terms(T.embed_tokens(docs)).select("doc_id", "term", "tf")
+
+
+def word_vectors(spark, sf):
+    """The r-th most frequent term (ties by term) gets the vector with id r - 1."""
+    toks = T.embed_tokens(documents(spark, sf, "doc_id", "text")).select("toks")
+    totals = T.explode_tokens(toks, out="term").groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    totals = cut(totals.withColumn("value", -F.col("total")))
+    emb = table(spark, sf, "embeddings").select("vec_id", X.doubles(F.col("embedding")).alias("vec"))
+    last = emb.agg(F.max("vec_id") + 1).scalar()
+    levels = cumulative(cut(totals.groupBy("value").agg(F.count(F.lit(1)).alias("n"))))
+    near = totals.join(levels.where(F.col("cum") - F.col("n") < last), "value")
+    place = F.row_number().over(Window.partitionBy("value").orderBy("term"))
+    ranked = near.select("term", (F.col("cum") - F.col("n") + place - 1).alias("vec_id"))
+    return ranked.join(emb, "vec_id").select("term", "vec")
+
+
+def _vocabulary(spark, sf):
+    """Triples and vectors over the common vocabulary, and its size."""
+    vec = cut(word_vectors(spark, sf))
+    return D.keep_terms(embed_dtm(spark, sf), vec), vec, D.row_count(vec)
+
+
+def _long(features, digits=6):
+    return features.select("doc_id", F.posexplode("features").alias("dim", "value")).withColumn(
+        "value", F.round("value", digits)
+    )
+
+
+@query(
+    "vocab_coverage",
+    f"""WITH {WV_SQL} SELECT (SELECT count(*) FROM tot) AS n_terms, (SELECT count(*) FROM tot JOIN wv USING (term)) AS n_known,
+    round((SELECT count(*) FROM tot JOIN wv USING (term)) / (SELECT count(*) FROM tot), 6) AS coverage""",
+)
+def vocab_coverage(spark, sf):
+    out = E.coverage(embed_dtm(spark, sf), word_vectors(spark, sf))
+    return out.withColumn("coverage", F.round("coverage", 6))
+
+
+def _mean_sql(weight: str) -> str:
+    return f"""WITH {WV_SQL}, x AS (SELECT doc_id, {weight} AS w, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS dim FROM red, nd)
+    SELECT doc_id, dim::INTEGER AS dim, round(sum(w * x) / any_value(nv), 6) AS value FROM x, nv GROUP BY doc_id, dim"""
+
+
+@query("wordvec_tf_mean", _mean_sql("tf"))
+def wordvec_tf_mean(spark, sf):
+    counts, vec, n = _vocabulary(spark, sf)
+    return _long(E.mean_features(counts, vec, DIMS, n))
+
+
+@query("wordvec_tfidf_mean", _mean_sql("tf / kept * log10(nd / df)"))
+def wordvec_tfidf_mean(spark, sf):
+    """Weights of the reduced table: shares of the kept words, IDF over all documents."""
+    counts, vec, n = _vocabulary(spark, sf)
+    counts = cut(counts)
+    stats = D.term_stats(counts)
+    weighted = D.project(counts, stats, D.row_count(table(spark, sf, "documents")))
+    return _long(E.mean_features(weighted.select("doc_id", "term", "w"), vec, DIMS, n, "w"))
+
+
+@query(
+    "wordvec_minmax",
+    f"""WITH {WV_SQL}, x AS (SELECT doc_id, tf * unnest(v) AS x, generate_subscripts(v, 1) - 1 AS dim FROM red),
+    m AS (SELECT doc_id, dim, min(x) AS lo, max(x) AS hi, count(*) AS c FROM x GROUP BY doc_id, dim)
+    SELECT doc_id, dim::INTEGER AS dim, round(CASE WHEN c < nv THEN least(lo, 0) ELSE lo END, 6) AS value FROM m, nv
+    UNION ALL SELECT doc_id, (dim + {DIMS})::INTEGER, round(CASE WHEN c < nv THEN greatest(hi, 0) ELSE hi END, 6) FROM m, nv""",
+)
+def wordvec_minmax(spark, sf):
+    counts, vec, n = _vocabulary(spark, sf)
+    return _long(E.minmax_features(counts, vec, DIMS, n))
+
+
+@query(
+    "rwmd",
+    f"""WITH {WV_SQL}, u AS (SELECT term, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM wv),
+    cost AS (SELECT a.term AS t1, b.term AS t2, 1 - list_dot_product(a.v, b.v) AS c FROM u a, u b),
+    cheap AS (SELECT t1 AS term, red.doc_id AS j, min(c) AS c FROM cost JOIN red ON red.term = t2 GROUP BY ALL),
+    one AS (SELECT red.doc_id AS i, cheap.j, sum(tf / kept * c) AS d FROM red JOIN cheap USING (term) GROUP BY ALL),
+    two AS (SELECT a.i, a.j, round(greatest(a.d, b.d), 9) AS d FROM one a JOIN one b ON a.i = b.j AND a.j = b.i WHERE a.i <> a.j)
+    SELECT i, j, d, row_number() OVER (PARTITION BY i ORDER BY d, j)::INTEGER AS rank FROM two QUALIFY rank <= 5""",
+)
+def rwmd(spark, sf):
+    """The five nearest documents of every document."""
+    counts, vec, _ = _vocabulary(spark, sf)
+    return nearest_documents(counts, vec, 5)
