@@ -159,7 +159,7 @@ def forest_predictions(spark, sf):
 
 # --- clustering --------------------------------------------------------------------
 
-_AP = dict(damping=0.7, max_rounds=30, stable_rounds=10)
+_AP = dict(damping=0.5, max_rounds=15, stable_rounds=10)
 
 
 def similarity_edges(spark, sf, least=0.25):
@@ -180,7 +180,7 @@ def ap_clusters(spark, sf):
 def ap_k_clusters(spark, sf):
     edges, points, twins = similarity_edges(spark, sf)
     n = points.count() // 5
-    found = AP.affinity_propagation_k(edges, points, n, prc=0.3, max_runs=4, **_AP)
+    found = AP.affinity_propagation_k(edges, points, n, prc=0.3, max_runs=2, **_AP)
     return AP.with_copies(found, twins)
 
 
