@@ -89,8 +89,8 @@ def _assign(df: DataFrame, pivots: np.ndarray, measure: str, extra: str = "") ->
 
 
 def _pick_pivots(df: DataFrame, n: int, measure: str) -> np.ndarray:
-    """About sqrt(n) vectors in the order of a hash: a bounded driver-side sample."""
-    want = int(min(MAX_PIVOTS, max(1, round(n**0.5))))
+    """One vector per block of rows, in the order of a hash: a bounded driver-side sample."""
+    want = int(min(MAX_PIVOTS, -(-n // BLOCK)))
     rows = df.orderBy(unit_hash(1, F.col("id"))).limit(want).select("vec").collect()
     return _unit(_matrix([r["vec"] for r in rows]), measure)[0]
 
@@ -405,7 +405,7 @@ def expand_copies(
 def extreme_distances(df: DataFrame) -> DataFrame:
     """Largest distance inside a cluster and smallest between clusters (1 - cosine): one row.
 
-    `df` is (id, cluster, vec). The best pair among the pivots bounds both; only cells
+    `df` is (id, cluster, vec). The best pair among some probes bounds both; only cells
     that can hold a better pair are compared, and a pair of blocks returns two numbers.
     """
     spark = df.sparkSession
@@ -414,12 +414,13 @@ def extreme_distances(df: DataFrame) -> DataFrame:
     once = keyed.groupBy("cluster", "_key").agg(F.min("id").alias("id"))
     rows = rows.join(once.select("id"), "id", "left_semi")
     n = df.count()
-    want = int(min(MAX_PIVOTS, max(1, round(n**0.5))))
+    want = int(min(MAX_PIVOTS, max(16, -(-n // BLOCK))))  # a few more give better bounds
     picked = rows.orderBy(unit_hash(1, F.col("id"))).limit(want).select("vec", "cluster").collect()
-    pivots = _unit(_matrix([r["vec"] for r in picked]), "cosine")[0]
+    probes = _unit(_matrix([r["vec"] for r in picked]), "cosine")[0]
+    pivots = probes[: max(1, -(-n // BLOCK))]
     group = np.array([str(r["cluster"]) for r in picked])
     same = group[:, None] == group[None, :]
-    cos = pivots @ pivots.T
+    cos = probes @ probes.T
     widest = float(cos[same].min())
     closest = float(cos[~same].max()) if (~same).any() else -1.0
     cluster_type = df.schema["cluster"].dataType.simpleString()

@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions.words import ENGLISH_STOPWORDS
 from corpusloom.operators import clean, dtm as D, tokens as T
+from corpusloom.sources.tables import read_table, spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return read_table(spark, f"{sf}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
-    return table(spark, sf, "documents").select(*(cols or ("doc_id", "lang", "source", "text")))
+    cols = cols or ("doc_id", "lang", "source", "text")
+    rows = table(spark, sf, "documents").select(*cols)
+    return spread(rows) if "text" in cols else rows
 
 
 def n_docs(spark: SparkSession, sf: str):
