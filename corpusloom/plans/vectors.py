@@ -226,7 +226,7 @@ def wordvec_minmax(spark, sf):
     cheap AS (SELECT t1 AS term, red.doc_id AS j, min(c) AS c FROM cost JOIN red ON red.term = t2 GROUP BY ALL),
     one AS (SELECT red.doc_id AS i, cheap.j, sum(tf / kept * c) AS d FROM red JOIN cheap USING (term) GROUP BY ALL),
     two AS (SELECT a.i, a.j, round(greatest(a.d, b.d), 9) AS d FROM one a JOIN one b ON a.i = b.j AND a.j = b.i WHERE a.i <> a.j)
-    SELECT i, j, d, row_number() OVER (PARTITION BY i ORDER BY d, j)::INTEGER AS rank FROM two QUALIFY rank <= 5""",
+    SELECT i, j, d + 0.0 AS d, row_number() OVER (PARTITION BY i ORDER BY two.d, j)::INTEGER AS rank FROM two QUALIFY rank <= 5""",
 )
 def rwmd(spark, sf):
     """The five nearest documents of every document."""
