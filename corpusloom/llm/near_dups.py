@@ -45,7 +45,7 @@ def _word_hashes(data: bytes, prefix: PrefixHash) -> tuple[np.ndarray, np.ndarra
     """Hash and start of every word of data, in stretches that end at white space."""
     hashes, starts, at = [], [], 0
     while at < len(data):
-        stop = at + 2 * STRETCH
+        stop = min(at + 2 * STRETCH, len(data))
         if stop < len(data):
             cut = max(data.rfind(c, at, stop) for c in (b" ", b"\n"))
             stop = cut + 1 if cut > at else len(data)
@@ -206,7 +206,7 @@ def _confirmed(texts: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     hubs = sizes.select(
         F.col("hub").alias("id"),
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-    ).select("id", F.struct(F.col("id").alias("hub"), F.col("salt").cast("long")).alias("s"))
+    ).select("id", F.struct(F.col("id").alias("hub"), F.col("salt").cast("long").alias("salt")).alias("s"))
     wanted = members.unionByName(hubs).groupBy("id").agg(F.collect_set("s").alias("stars"))
     sets = mapped(
         texts.join(wanted, "id").select("id", "text", "stars"),
@@ -222,9 +222,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Documents are linked when 100 * intersection >= percent * union of their sets of shingles;
     component_id is the least doc_id that links reach, kept marks that document. Documents without
-    words are linked with nothing. Null texts count as empty, repeated doc_ids with one text are one
-    document, other columns are ignored, an empty table gives an empty result; doc_id must not be
-    null.
+    words are linked with nothing. Null texts count as empty; rows that repeat a doc_id
+    and its text are one document; a row without doc_id is linked with nothing, has no component_id
+    and is kept. Other columns are ignored, an empty table gives an empty result.
     """
     bands = bands_for(percent / 100)
     texts = docs.select(F.col("doc_id"), text_or_empty())
@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         mapped(texts, partial(_sketch, bands=bands), "doc_id long, n_shingles long, digest long, bands array<long>"),
         "sketches",
     )
-    filled = sketches.filter("n_shingles > 0")
+    filled = sketches.filter("n_shingles > 0 and doc_id is not null")
     classes = filled.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
     members = classes.select("id", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("hub")).filter("n > 1")
@@ -258,8 +258,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     groups = ids.select("digest", "n_shingles", F.coalesce("label", "id").alias("component_id"))
     return (
         sketches.join(groups, ["digest", "n_shingles"], "left")
-        .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-        .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+        .withColumn("component_id", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")))
+        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
 
 
