@@ -237,7 +237,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     members = classes.select("id", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("hub")).filter("n > 1")
     buckets = stored(members.join(shared, "bucket").select("bucket", "id", "hub"), "buckets")
-    bodies = texts.withColumnRenamed("doc_id", "id").dropDuplicates(["id"])
+    # all comparisons are among documents that share a bucket: their texts are fetched once
+    met = buckets.select("id").distinct()
+    bodies = stored(texts.withColumnRenamed("doc_id", "id").join(met, "id", "left_semi").dropDuplicates(["id"]), "bodies")
     edges = stored(
         _confirmed(bodies, buckets.filter("id <> hub").select("hub", F.col("id").alias("member")).distinct(), percent),
         "links",
@@ -246,7 +248,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     tried = buckets.select("bucket", "hub").distinct()
     hubs_at_once = 1
     while True:
-        hubs_at_once *= 4
+        hubs_at_once *= 16
         pairs = stored(_open_pairs(buckets.select("bucket", "id"), labels, tried, hubs_at_once), "pairs")
         if pairs.isEmpty():
             break
