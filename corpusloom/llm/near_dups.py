@@ -6,11 +6,13 @@ order over bins finds first (optimal densification), so equal sets and similar s
 Bins are read in bands; documents that share a band meet in a bucket. The number of bands follows
 from the threshold: a pair just at it is missed with probability MISS.
 
-Documents with equal sets are one class. Inside a bucket only star edges are formed, from a hub to
-the other classes, and confirmed on the full sets. Where a bucket still holds classes of different
-components, further hubs are taken from all but its largest component, more of them each round,
-until every pair of a bucket is in one component or was compared with one of the two as hub. So no
-link is lost to the star shape and no bucket emits all its pairs.
+Documents with equal sets are one class. Inside a bucket only star edges are formed: from the class
+that shares most places in buckets, the likely centre, to the others. They are confirmed on the full
+sets. A star can lose a link between two classes that are both far from its centre. So classes that
+buckets hold together, directly or by steps, are a cluster, and clusters whose stars left several
+components are compared in full, in pairs of blocks of bounded size: bins first (five standard
+deviations below the threshold), then the sets, and only across components. Such a comparison gives
+its links alone, never its pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import Batches, mapped, stored, text_or_empty
@@ -32,6 +34,8 @@ WORDS = 5
 ROWS = 5  # bins per band
 MISS = 1e-8
 STAR = 500  # members of a star that are compared in one group
+BLOCK_SETS = 1_000  # sets of a block that is compared in full with another, and their hashes
+BLOCK_HASHES = 1 << 20
 STRETCH = 1 << 20
 
 _MULTIPLIERS = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -217,6 +221,85 @@ def _confirmed(texts: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     return mapped(dealt, partial(_confirm, percent=percent), "a long, b long")
 
 
+def _sets_for_blocks(batches: Batches) -> Batches:
+    """The set of each document once per pair of blocks that it takes part in."""
+    prefix = PrefixHash()
+    names = ["cluster", "i", "j", "block", "id", "label", "hashes"]
+    for batch in batches:
+        rows = batch.select(["id", "label", "block", "pairs"]).to_pylist()
+        for part, texts in _groups(rows, batch.column("text").to_pylist()):
+            for row, mine in zip(part, shingle_sets(texts, prefix)):
+                out = [(p["cluster"], p["i"], p["j"], row["block"], row["id"], row["label"]) for p in row["pairs"]]
+                arrays = [pa.array(c, pa.int64()) for c in zip(*out)]
+                yield pa.record_batch([*arrays, pa.array([mine.tobytes()] * len(out), pa.binary())], names=names)
+
+
+def _links_of_blocks(table: pa.Table, percent: int) -> pa.Table:
+    """Links across components between two blocks of a cluster (or inside one)."""
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    block = table.column("block").to_numpy()
+    ids, label = table.column("id").to_numpy(), table.column("label").to_numpy().copy()
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+    share = percent / 100
+    sketcher = Sketcher(bands_for(share))
+    bins = np.array([(sketcher.bins_of(x) >> np.uint64(40)).astype(np.uint16) for x in sets])
+    sizes = np.array([len(x) for x in sets])
+    others = np.flatnonzero(block == j)
+    links = []
+    for u in np.flatnonzero(block == i).tolist():
+        there = others[others > u] if i == j else others
+        there = there[label[there] != label[u]]
+        # sets smaller than the number of bins borrow, so they count for fewer
+        sure = np.minimum(np.minimum(sizes[u], sizes[there]), sketcher.bins)
+        enough = share - 5 * np.sqrt(share * (1 - share) / sure)
+        for v in there[(bins[there] == bins[u]).mean(axis=1) >= enough].tolist():
+            if label[u] == label[v]:
+                continue
+            both = len(np.intersect1d(sets[u], sets[v], assume_unique=True))
+            if 100 * both >= percent * (sizes[u] + sizes[v] - both):
+                links.append((ids[u], ids[v]))
+                label[label == label[v]] = label[u]
+    a, b = zip(*links) if links else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _links_of_clusters(bodies: DataFrame, stars: DataFrame, labels: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Links that the confirmed stars (labels) have left out inside the clusters of all stars."""
+    clusters = connected(stars.select(F.col("hub").alias("a"), F.col("member").alias("b")))
+    named = stored(
+        clusters.withColumnRenamed("label", "cluster")
+        .join(labels, "id", "left")
+        .join(sizes, "id")
+        .select("id", "cluster", F.coalesce("label", "id").alias("label"), "n_shingles"),
+        "clusters",
+    )
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_HASHES))
+    open_ = (
+        named.groupBy("cluster")
+        .agg(parts.alias("blocks"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low <> high")
+        .select("cluster", "blocks")
+    )
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    pair = F.transform(
+        every,
+        lambda b: F.struct(
+            F.col("cluster").alias("cluster"), F.least(F.col("block"), b).alias("i"), F.greatest(F.col("block"), b).alias("j")
+        ),
+    )
+    members = (
+        named.join(open_, "cluster")
+        .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+        .select("id", "label", "block", pair.alias("pairs"))
+    )
+    sets = mapped(
+        bodies.join(members, "id").select("id", "text", "label", "block", "pairs"),
+        _sets_for_blocks,
+        "cluster long, i long, j long, block long, id long, label long, hashes binary",
+    )
+    return sets.groupBy("cluster", "i", "j").applyInArrow(lambda table: _links_of_blocks(table, percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -235,27 +318,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     filled = sketches.filter("n_shingles > 0 and doc_id is not null")
     classes = filled.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
     members = classes.select("id", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("hub")).filter("n > 1")
-    buckets = stored(members.join(shared, "bucket").select("bucket", "id", "hub"), "buckets")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = stored(members.join(shared, "bucket"), "buckets")
+    central = buckets.groupBy("id").agg(F.sum("n").alias("places"))
+    hubs = buckets.join(central, "id").groupBy("bucket").agg(F.max_by("id", F.struct("places", -F.col("id"))).alias("hub"))
+    stars = stored(
+        buckets.join(hubs, "bucket").filter("id <> hub").select("hub", F.col("id").alias("member")).distinct(), "stars"
+    )
     # all comparisons are among documents that share a bucket: their texts are fetched once
     met = buckets.select("id").distinct()
     bodies = stored(texts.withColumnRenamed("doc_id", "id").join(met, "id", "left_semi").dropDuplicates(["id"]), "bodies")
-    edges = stored(
-        _confirmed(bodies, buckets.filter("id <> hub").select("hub", F.col("id").alias("member")).distinct(), percent),
-        "links",
-    )
-    labels = connected(edges)
-    tried = buckets.select("bucket", "hub").distinct()
-    hubs_at_once = 1
-    while True:
-        hubs_at_once *= 16
-        pairs = stored(_open_pairs(buckets.select("bucket", "id"), labels, tried, hubs_at_once), "pairs")
-        if pairs.isEmpty():
-            break
-        new = pairs.select("hub", "member").distinct()
-        edges = stored(edges.unionByName(_confirmed(bodies, new, percent)), "links")
-        labels = connected(edges)
-        tried = stored(tried.unionByName(pairs.select("bucket", "hub")).distinct(), "tried")
+    links = stored(_confirmed(bodies, stars, percent), "links")
+    sizes = classes.select("id", "n_shingles")
+    further = stored(_links_of_clusters(bodies, stars, connected(links), sizes, percent), "further-links")
+    labels = connected(links.unionByName(further))
     ids = classes.select(F.col("id"), "digest", "n_shingles").join(labels, "id", "left")
     groups = ids.select("digest", "n_shingles", F.coalesce("label", "id").alias("component_id"))
     return (
@@ -263,26 +339,3 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         .withColumn("component_id", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")))
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
-
-
-def _open_pairs(buckets: DataFrame, labels: DataFrame, tried: DataFrame, hubs_at_once: int) -> DataFrame:
-    """bucket, hub, member: pairs of different components, from up to hubs_at_once new hubs per
-    bucket, none of them in the largest component of the bucket."""
-    named = buckets.join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
-    parts = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    largest = (
-        parts.groupBy("bucket")
-        .agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("components"))
-        .filter("components > 1")
-        .select("bucket", F.col("top.label").alias("top"))
-    )
-    open_ = named.join(largest, "bucket")
-    untried = open_.filter("label <> top").join(tried, (F.col("id") == tried["hub"]) & (open_["bucket"] == tried["bucket"]), "left_anti")
-    turn = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-    hubs = untried.withColumn("turn", turn).filter(F.col("turn") <= hubs_at_once)
-    hubs = hubs.select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label"))
-    return (
-        open_.join(hubs, "bucket")
-        .filter("label <> hub_label")
-        .select("bucket", "hub", F.col("id").alias("member"))
-    )

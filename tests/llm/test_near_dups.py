@@ -63,8 +63,9 @@ def test_against_brute_force(documents):
         assert result(near_dups.near_duplicates(documents(table(percent)), percent)) == brute(table(percent), percent)
 
 
-def test_small_stars_are_spread_over_groups(documents, monkeypatch):
+def test_small_stars_and_blocks_are_spread_over_groups(documents, monkeypatch):
     monkeypatch.setattr(near_dups, "STAR", 3)
+    monkeypatch.setattr(near_dups, "BLOCK_SETS", 4)
     assert result(near_dups.near_duplicates(documents(table(1)), 85)) == brute(table(1), 85)
 
 
