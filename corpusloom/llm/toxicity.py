@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import Batches, mapped, stored, text_or_empty
 from corpusloom.llm.words import PrefixHash, mixed
 
-SPACE = 1 << 20  # hashed terms
+SPACE = 1 << 22  # hashed terms
 BEGINNINGS = (5, 6, 7)  # bytes of words
+LEAST_CHI = 30.0  # below this a term can look telling by chance, among so many
+LEAST_SHARE = 0.012  # and this share of the rows: below it, one family of copies can make a term telling
 OFTEN = 200  # at least two occurrences, and one per so many words
 STRETCH = 1 << 20
 
@@ -122,7 +124,7 @@ class Model:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_terms: int = 1_000, factors: int = 4, rounds: int = 150
+    docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_terms: int = 1_000, factors: int = 4, rounds: int = 80
 ) -> Model:
     """A model of labels (doc_id, toxic 0 or 1) on docs (doc_id, text).
 
@@ -148,7 +150,13 @@ def fit(
     a, b = F.col("ones"), F.col("zeros")
     n, c, d = ones + zeros, ones - a, zeros - b
     chi = n * F.pow(a * d - b * c, 2) / ((a + b) * (c + d + 1e-9) * float(ones) * float(zeros))
-    best = counts.filter("term >= 0 and ones + zeros >= 3").withColumn("chi", chi).orderBy(F.desc("chi"), "term").limit(most_terms)
+    best = (
+        counts.filter("term >= 0")
+        .withColumn("chi", chi)
+        .filter(F.col("chi") >= max(LEAST_CHI, LEAST_SHARE * n))
+        .orderBy(F.desc("chi"), "term")
+        .limit(most_terms)
+    )
     chosen = np.array(sorted(r["term"] for r in best.collect()), np.int64)  # at most most_terms
     if not len(chosen):
         return Model(chosen, float(np.log(ones / zeros)), np.zeros(0), np.zeros((0, 1)))
@@ -158,7 +166,7 @@ def fit(
     ).setMinTF(1.0)
     data = sparse.transform(lists).select("label", "features").cache()
     machine = FMClassifier(
-        factorSize=factors, maxIter=rounds, stepSize=0.05, regParam=1e-4, solver="adamW", seed=7, initStd=0.05
+        factorSize=factors, maxIter=rounds, stepSize=0.05, regParam=0.0, solver="adamW", seed=7, initStd=0.01
     ).fit(data)
     data.unpersist()
     return Model(chosen, float(machine.intercept), machine.linear.toArray(), machine.factors.toArray())
