@@ -110,11 +110,11 @@ clean AS (SELECT doc_id, lang, source, lower(tok) AS tok FROM word
 """
 DTM_SQL = f"""
 {CLEAN_SQL},
-dtm AS (SELECT doc_id, lang, source, tok AS term, count(*) AS tf FROM clean GROUP BY ALL),
-sized AS (SELECT *, sum(tf) OVER (PARTITION BY doc_id) AS doc_len FROM dtm),
+dtm AS MATERIALIZED (SELECT doc_id, lang, source, tok AS term, count(*) AS tf FROM clean GROUP BY ALL),
+sized AS MATERIALIZED (SELECT *, sum(tf) OVER (PARTITION BY doc_id) AS doc_len FROM dtm),
 n AS (SELECT count(*) AS n FROM documents),
-terms AS (SELECT term, sum(tf)::BIGINT AS total, count(*) AS doc_freq FROM dtm GROUP BY term),
-weights AS (SELECT term, sum(tf / doc_len) * log10(any_value(n.n) / count(*)) AS weight FROM sized, n GROUP BY term)
+terms AS MATERIALIZED (SELECT term, sum(tf)::BIGINT AS total, count(*) AS doc_freq FROM dtm GROUP BY term),
+weights AS MATERIALIZED (SELECT term, sum(tf / doc_len) * log10(any_value(n.n) / count(*)) AS weight FROM sized, n GROUP BY term)
 """
 
 

@@ -115,8 +115,8 @@ def _rounded_weights(spark, sf):
     )
 
 
-_ROUNDED = """rw AS (SELECT term, round(weight, 6) AS weight FROM weights),
-cutoff AS (SELECT round(quantile_cont(weight, 0.75), 9) AS q FROM rw)"""
+_ROUNDED = """rw AS MATERIALIZED (SELECT term, round(weight, 6) AS weight FROM weights),
+cutoff AS MATERIALIZED (SELECT round(quantile_cont(weight, 0.75), 9) AS q FROM rw)"""
 
 
 @query(
@@ -129,8 +129,7 @@ def tfidf_keep_above(spark, sf):
 
 @query(
     "tfidf_drop_up_to",
-    f"""WITH {DTM_SQL}, {_ROUNDED.replace("0.75", "0.975")} SELECT term, weight FROM rw
-    WHERE term NOT IN (SELECT term FROM rw, cutoff WHERE weight <= q)""",
+    f"""WITH {DTM_SQL}, {_ROUNDED.replace("0.75", "0.975")} SELECT term, weight FROM rw, cutoff WHERE weight > q""",
 )
 def tfidf_drop_up_to(spark, sf):
     return D.terms_above(_rounded_weights(spark, sf), "weight", 0.975).select("term", "weight")
@@ -139,7 +138,7 @@ def tfidf_drop_up_to(spark, sf):
 @query(
     "tfidf_drop_below_keep_counts",
     f"""WITH {DTM_SQL}, {_ROUNDED} SELECT doc_id, term, tf FROM dtm
-    WHERE term NOT IN (SELECT term FROM rw, cutoff WHERE weight < q)""",
+    JOIN (SELECT term FROM rw, cutoff WHERE weight >= q) USING (term)""",
 )
 def tfidf_drop_below_keep_counts(spark, sf):
     """Chosen by weight, kept as counts; terms at the threshold stay."""
