@@ -7,7 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom.operators.lineage import cut
 
 HOT_SHARE = 0.001
-SALTS = 32
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """df with a broadcast hint if it is no longer than `rows`, else as it is. For tables with one
+    short row per group, class or value; df is counted, so it should be a written table."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def salted_lookup(
@@ -18,21 +24,21 @@ def salted_lookup(
     spread: Column,
     how: str = "inner",
     hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join many rows to a table that has one row per key.
 
-    `weight` is the number of `rows` per key, a column of the table. A key with at
-    least `hot_share` of all rows is spread over `salts` partitions. At most
-    1 / hot_share keys can be that heavy, which bounds the broadcast list of them.
+    `weight` is the number of `rows` per key, a column of the table. A key with more than
+    `hot_share` of all rows is spread over as many salts as it has such shares, so no salt
+    holds more than that share. At most 1 / hot_share keys can be that heavy, which bounds
+    the broadcast list of them and the copies of the table's rows.
     """
     table = cut(table)  # read three times below
     total = table.agg(F.sum(weight)).scalar()
-    is_hot = F.col(weight) >= total * F.lit(hot_share)
-    hot = table.where(is_hot).select(key, F.lit(True).alias("_hot"))
+    salts = F.ceil(F.col(weight) / (total * F.lit(hot_share)))
+    hot = table.where(salts > 1).select(key, salts.alias("_salts"))
     left = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0))
+        "_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")), F.lit(0))
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = table.withColumn("_salt", F.explode(copies.cast("array<bigint>")))
-    return left.drop("_hot").join(right, [key, "_salt"], how).drop("_salt")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.greatest(salts, F.lit(1)) - 1)
+    right = table.withColumn("_salt", F.explode(copies))
+    return left.drop("_salts").join(right, [key, "_salt"], how).drop("_salt")

@@ -149,3 +149,36 @@ def hash_ranks(
         .withColumn("rank", F.col("_before") + F.col("_row"))
         .drop("_order", "_range", "_row", "_before")
     )
+
+
+def hash_cuts(
+    df: DataFrame, order: Column, limit: Callable[[Column], Column], strata: Sequence[str] = ()
+) -> DataFrame:
+    """(strata, cut): the hash of row number limit(rows) of each stratum in the order of a hex hash.
+
+    Only strata and hashes are read. Ranges of the first digits, as many as the table needs, are
+    counted; only the one range per stratum that holds the row is sorted.
+    """
+    strata = list(strata)
+    keyed = df.select(*strata, order.alias("_order"))
+    digits = 1 + (keyed.count() // 100_000).bit_length() // 4
+    keyed = keyed.withColumn("_range", F.substring("_order", 1, digits))
+    in_stratum = Window.partitionBy(*strata) if strata else Window.partitionBy(F.lit(0))
+    upto = in_stratum.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = keyed.groupBy(*strata, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sizes.select(
+        *strata,
+        "_range",
+        (F.sum("_size").over(upto) - F.col("_size")).alias("_before"),
+        F.col("_size"),
+        limit(F.sum("_size").over(in_stratum)).alias("_limit"),
+    )
+    place = F.col("_limit") - F.col("_before")
+    held = sizes.where((place > 0) & (place <= F.col("_size"))).select(*strata, "_range", place.alias("_place"))
+    inside = Window.partitionBy(*strata, "_range").orderBy("_order")
+    return (
+        keyed.join(held, [*strata, "_range"])
+        .withColumn("_row", F.row_number().over(inside))
+        .where(F.col("_row") == F.col("_place"))
+        .select(*strata, F.col("_order").alias("cut"))
+    )
