@@ -30,7 +30,7 @@ def vectors(spark, sf):
     return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
 
 
-def _top_sql(vectors_sql: str, measure: str, k: int = 10) -> str:
+def top_sql(vectors_sql: str, measure: str, k: int = 10) -> str:
     return f"""WITH {vectors_sql},
     p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_dot_product(a.v, b.v) AS xy,
           list_dot_product(a.v, a.v) AS xx, list_dot_product(b.v, b.v) AS yy FROM e a JOIN e b ON a.vec_id <> b.vec_id),
@@ -43,24 +43,24 @@ def _top(spark, sf, measure, k=10):
     return SIM.neighbours(vectors(spark, sf), k, measure)
 
 
-@query("sim_cosine", _top_sql(EMB_SQL, "xy / sqrt(xx * yy)"))
+@query("sim_cosine", top_sql(EMB_SQL, "xy / sqrt(xx * yy)"))
 def sim_cosine(spark, sf):
     return _top(spark, sf, "cosine")
 
 
-@query("sim_pearson", _top_sql(PEARSON_SQL, "xy / sqrt(xx * yy)"))
+@query("sim_pearson", top_sql(PEARSON_SQL, "xy / sqrt(xx * yy)"))
 def sim_pearson(spark, sf):
     return _top(spark, sf, "pearson")
 
 
-@query("sim_ejaccard", _top_sql(EMB_SQL, "xy / (xx + yy - xy)"))
+@query("sim_ejaccard", top_sql(EMB_SQL, "xy / (xx + yy - xy)"))
 def sim_ejaccard(spark, sf):
     return _top(spark, sf, "ejaccard")
 
 
 @query(
     "dist_topk",
-    f"""WITH t AS ({_top_sql(EMB_SQL, "xy / sqrt(xx * yy)", 5)}) SELECT i, j, round(1 - s, 9) AS d, rank FROM t
+    f"""WITH t AS ({top_sql(EMB_SQL, "xy / sqrt(xx * yy)", 5)}) SELECT i, j, round(1 - s, 9) AS d, rank FROM t
     UNION ALL SELECT vec_id, vec_id, 0.0, 0 FROM embeddings""",
 )
 def dist_topk(spark, sf):
