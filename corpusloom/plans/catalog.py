@@ -22,6 +22,7 @@ MODULES = (
     "vectors",
     "graph",
     "models",
+    "textclass",
 )
 
 

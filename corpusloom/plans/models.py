@@ -10,13 +10,13 @@ from corpusloom.functions.words import TOPIC_STOPWORDS
 from corpusloom.operators import classify as C, clusters as AP, dtm as D, lsa, tokens as T, topics as LDA
 from corpusloom.operators.joins import salted_lookup
 from corpusloom.operators.lineage import cut
-from corpusloom.operators.similarity import similar_pairs
+from corpusloom.operators.similarity import distinct_rows, neighbours, vector_content
 from corpusloom.operators.split import random_split, stratified_split
 from corpusloom.plans.catalog import query
 from corpusloom.plans.tables import documents, n_docs, table
-from corpusloom.plans.vectors import vectors
+from corpusloom.plans.vectors import top_sql, vectors
 
-FACTORS = 10
+FACTORS = 20
 
 
 def _stemmed(docs, keep=()):
@@ -33,13 +33,13 @@ def stemmed_dtm(spark, sf):
 
 
 def _weights(spark, sf):
-    """Train and test TF-IDF over the training terms above the 0.99 quantile."""
+    """Train and test TF-IDF over the training terms above the 0.75 quantile."""
     docs = random_split(documents(spark, sf, "doc_id", "text"), "doc_id")
     counts = cut(D.document_terms(T.classify_tokens(T.colocate(docs)), keep=["split"]))
     train = counts.where(F.col("split") == "train")
     test = counts.where(F.col("split") == "test")
     n = D.row_count(docs.where(F.col("split") == "train"))
-    chosen = cut(D.terms_above(D.tfidf_totals(train, n), "weight", 0.99))
+    chosen = cut(D.terms_above(D.tfidf_totals(train, n), "weight", 0.75))
     full = D.project(train, chosen, n, denominator="full")
     return full.select("doc_id", "term", "w"), D.project(test, chosen, n).select("doc_id", "term", "w")
 
@@ -86,7 +86,8 @@ def test_rows(counts):
     return counts.where(F.col("split") == "test")
 
 
-_FIT = dict(k=4, seeds=(5, 10), max_iter=10)
+_FIT = dict(k=4, max_iter=10)  # best of the five starts
+TOPICS = range(3, 9)
 
 
 @query("lda_topics")
@@ -112,18 +113,21 @@ def lda_new_docs(spark, sf):
 @query("lda_perplexity_by_k")
 def lda_perplexity_by_k(spark, sf):
     train, test, _ = topic_input(spark, sf)
-    return LDA.perplexity_by_k(train, test, [3, 4], max_iter=10)
+    return LDA.perplexity_by_k(train, test, TOPICS, max_iter=10)
 
 
 @query("lda_metric_table")
 def lda_metric_table(spark, sf):
     train, _, vocabulary = topic_input(spark, sf)
-    return LDA.metrics_by_k(train, vocabulary, [3, 4], max_iter=10)
+    return LDA.metrics_by_k(train, vocabulary, TOPICS, max_iter=10)
 
 
 # --- classification ----------------------------------------------------------------
 
 
+TREES = 40
+
+
 def _rows(spark, sf):
     features = vectors(spark, sf).select(F.col("id").alias("doc_id"), X.doubles(F.col("vec")).alias("features"))
     label = F.when(F.col("label") < 5, "low").otherwise("high").alias("label")
@@ -133,17 +137,17 @@ def _rows(spark, sf):
 
 @query("tree_cv")
 def tree_cv(spark, sf):
-    return C.cross_validate(_rows(spark, sf), "tree", [0.0, 0.01, 0.02], max_depth=5).results("high")
+    return C.cross_validate(_rows(spark, sf), "tree", C.value_grid(0.001, 0.01, by=0.001), max_depth=5).results("high")
 
 
 @query("forest_cv")
 def forest_cv(spark, sf):
-    return C.cross_validate(_rows(spark, sf), "forest", [1, 8], trees=20, max_depth=5).results("high")
+    return C.cross_validate(_rows(spark, sf), "forest", [1, 8], trees=TREES, max_depth=5).results("high")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    fitted = C.cross_validate(_rows(spark, sf), "forest", [8], trees=20, max_depth=5)
+    fitted = C.cross_validate(_rows(spark, sf), "forest", [8], trees=TREES, max_depth=5)
     return fitted.importance().orderBy(F.desc("importance"), "feature").limit(20)
 
 
@@ -152,22 +156,28 @@ def forest_predictions(spark, sf):
     """Fitted on the training part, applied to the test part."""
     rows = stratified_split(_rows(spark, sf), "label", "doc_id")
     fitted = C.cross_validate(
-        rows.where(F.col("split") == "train").drop("split"), "forest", [8], trees=20, max_depth=5
+        rows.where(F.col("split") == "train").drop("split"), "forest", [8], trees=TREES, max_depth=5
     )
     return fitted.predict(rows.where(F.col("split") == "test"))
 
 
 # --- clustering --------------------------------------------------------------------
 
-_AP = dict(damping=0.5, max_rounds=15, stable_rounds=10)
+# the vectors have no cluster structure, so messages may swing for long; the state after the last
+# round is used then
+_AP = dict(damping=0.7, max_rounds=60, stable_rounds=15, must_settle=False)
+NEAREST = 10  # similarities per point that the graph is made of
+GROUPS = 4  # clusters asked for: the groups of the task
 
 
-def similarity_edges(spark, sf, least=0.25):
+def similarity_edges(spark, sf, m=NEAREST, measure="cosine"):
+    """Edges to the m most similar points of each point, in both directions; points; copies."""
     rows = vectors(spark, sf)
-    pairs, twins = similar_pairs(rows, least)
-    copies = twins.where(F.col("id") != F.col("rep")).select("id")
-    points = rows.select("id").join(copies, "id", "left_anti")
-    return cut(AP.both_ways(pairs)), cut(points), twins
+    _, single, _, twins = distinct_rows(rows, vector_content(), 1)
+    points = cut(single.select("id", "vec"))
+    near = neighbours(points, m, measure)
+    pairs = near.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "s").distinct()
+    return cut(AP.both_ways(pairs)), points.select("id"), cut(twins)
 
 
 @query("ap_clusters")
@@ -178,22 +188,36 @@ def ap_clusters(spark, sf):
 
 @query("ap_k_clusters")
 def ap_k_clusters(spark, sf):
+    """A preference within the given range that leads to about 80 clusters."""
     edges, points, twins = similarity_edges(spark, sf)
-    n = points.count() // 5
-    found = AP.affinity_propagation_k(edges, points, n, prc=0.3, max_runs=2, **_AP)
+    found = AP.affinity_propagation_k(edges, points, 80, prc=0.3, max_runs=2, **_AP)
     return AP.with_copies(found, twins)
 
 
-@query("ap_preference_range")
+# one row per distinct vector stands for its copies
+_SINGLE_SQL = "e AS (SELECT min(vec_id) AS vec_id, any_value(label) AS label, embedding::DOUBLE[] AS v FROM embeddings GROUP BY embedding)"
+
+
+@query(
+    "ap_preference_range",
+    f"""WITH t AS ({top_sql(_SINGLE_SQL, "xy / sqrt(xx * yy)", NEAREST)}),
+    pairs AS (SELECT DISTINCT least(i, j) AS i, greatest(i, j) AS j, s FROM t),
+    edges AS (SELECT i, j AS k, s FROM pairs UNION ALL SELECT j, i, s FROM pairs),
+    n AS (SELECT count(DISTINCT embedding) AS n FROM embeddings),
+    ends AS (SELECT min(s) AS lo, max(s) AS hi FROM edges),
+    one AS (SELECT max(s + (n - 1 - m) * lo) AS one FROM (SELECT k, sum(s) AS s, count(*) AS m FROM edges GROUP BY k), n, ends),
+    best AS (SELECT sum(s) AS s, count(*) AS m FROM (SELECT i, max(s) AS s FROM edges GROUP BY i))
+    SELECT round(least(one - (best.s + (n - best.m) * greatest(hi, 0.0)), lo), 6) AS low, round(hi, 6) AS high FROM one, best, n, ends""",
+)
 def ap_preference_range(spark, sf):
     edges, points, _ = similarity_edges(spark, sf)
-    return spark.createDataFrame([AP.preference_range(edges, points)], "low double, high double")
+    low, high = AP.preference_range(edges, points)
+    return spark.createDataFrame([(round(low, 6), round(high, 6))], "low double, high double")
 
 
 @query("ap_agglomerate")
 def ap_agglomerate(spark, sf):
-    """The merges from the affinity propagation clusters to five fewer."""
+    """The merges from the affinity propagation clusters down to the groups of the task."""
     edges, points, _ = similarity_edges(spark, sf)
     found = cut(AP.affinity_propagation(edges, q=0.5, points=points, **_AP))
-    n = found.select("exemplar").distinct().count()
-    return AP.agglomerate(edges, found, n - 5)[1]
+    return AP.agglomerate(edges, found, GROUPS)[1]

@@ -1,5 +1,6 @@
 """Order statistics, weights, measures and cluster scores against hand or numpy results."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -156,7 +157,7 @@ def test_keywords_small_graph(spark):
         "grp string, doc_id bigint, sent_id int, tok_id int, lemma string, upos string")
     edges = G.collocations(words).collect()
     assert [(e.a, e.b, e.w) for e in edges] == [("car", "red", 3)]
-    ranks = G.pagerank(G.collocations(words), rounds=5)
+    ranks = G.pagerank(G.collocations(words))
     assert {r.lemma: round(r.pagerank, 6) for r in ranks.collect()} == {"car": 0.5, "red": 0.5}
     best = G.top_share(ranks, 0.5)
     assert [r.lemma for r in best.collect()] == ["car"]  # ties by word
@@ -170,5 +171,31 @@ def test_pagerank_sums_to_one(spark):
     rng = np.random.default_rng(5)
     pairs = {tuple(sorted(p)) for p in rng.integers(0, 30, (80, 2)).tolist()}
     edges = spark.createDataFrame([("g", f"w{a}", f"w{b}", 1 + (a + b) % 3) for a, b in pairs], "grp string, a string, b string, w bigint")
-    ranks = G.pagerank(edges, rounds=12)
+    ranks = G.pagerank(edges)
     assert ranks.agg(F.sum("pagerank")).head()[0] == pytest.approx(1.0)
+    names = sorted({w for e in edges.collect() for w in (e.a, e.b)})
+    m = np.zeros((len(names), len(names)))
+    for e in edges.collect():
+        i, j = names.index(e.a), names.index(e.b)
+        m[i, j] += e.w
+        m[j, i] += e.w
+    m /= m.sum(0)
+    start = np.full(len(names), 1 / len(names))
+    limit = np.linalg.solve(np.eye(len(names)) - 0.85 * m, 0.15 * start)
+    got = {r.lemma: r.pagerank for r in ranks.collect()}
+    assert np.allclose([got[n] for n in names], limit, rtol=1e-11, atol=0)
+    for _ in range(3):
+        start = 0.15 / len(names) + 0.85 * m @ start
+    assert not np.allclose(start, limit, rtol=1e-3)  # three rounds are not the limit
+
+
+def test_cuts_of_a_hash_order(spark):
+    rows = spark.range(500).selectExpr("id as k", "id % 3 as label", "repeat('text', 10) as text")
+    random = random_split(rows, "k").collect()
+    assert sum(r.split == "train" for r in random) == 375
+    strata = stratified_split(rows, "label", "k").collect()
+    for label in range(3):
+        mine = [r for r in strata if r.label == label]
+        assert sum(r.split == "train" for r in mine) == -(-len(mine) * 8 // 10)
+        order = sorted(mine, key=lambda r: hashlib.md5(f"42:{r.k}".encode()).hexdigest())
+        assert [r.split for r in order] == sorted((r.split for r in order), reverse=True)

@@ -93,6 +93,26 @@ def test_word_mover_neighbours(spark, small_blocks):
     assert {(r.i, r.j, r["rank"]) for r in got} == want
 
 
+def test_strips_of_words_give_the_same_distances(monkeypatch):
+    rng = np.random.default_rng(3)
+
+    def block(n_words, n_docs):
+        words = rng.normal(size=(n_words, 4))
+        words /= np.sqrt((words**2).sum(1))[:, None]
+        pairs = sorted({(d, w) for d in range(n_docs) for w in rng.integers(0, n_words, 6).tolist()})
+        doc, word = np.array(pairs).T
+        return {"ids": np.arange(n_docs), "words": words, "doc": doc, "word": word, "p": 1 / np.bincount(doc)[doc]}
+
+    left, right = block(23, 5), block(31, 4)
+    whole = R.distances(left, right)
+    monkeypatch.setattr(R, "STRIP", 7)
+    for a, b in zip(R.distances(left, right), whole):
+        assert np.allclose(a, b)
+    cost = 1 - left["words"] @ right["words"].T
+    there = [[sum(p * cost[w, right["word"][right["doc"] == e]].min() for w, p in zip(left["word"][left["doc"] == d], left["p"][left["doc"] == d])) for e in range(4)] for d in range(5)]
+    assert (whole[0] >= np.array(there) - 1e-12).all()
+
+
 def dense_ap(s, pref, damping, rounds):
     n = len(s)
     s = s.copy()
@@ -126,7 +146,9 @@ def test_affinity_propagation_equals_the_dense_algorithm(spark):
     n = len(x)
     edges = spark.createDataFrame([(i, k, float(s[i, k])) for i in range(n) for k in range(n) if i != k], "i bigint, k bigint, s double")
     pref = AP.preference(edges, 0.5)
-    got = AP.affinity_propagation(edges, q=0.5, damping=0.5, max_rounds=15, stable_rounds=100)
+    got = AP.affinity_propagation(edges, q=0.5, damping=0.5, max_rounds=15, stable_rounds=100, must_settle=False)
+    with pytest.raises(AP.NotSettled):
+        AP.affinity_propagation(edges, q=0.5, damping=0.5, max_rounds=5, stable_rounds=100)
     rows = {r.doc_id: r.exemplar for r in got.collect()}
     assert [rows[i] for i in range(n)] == dense_ap(s, pref, 0.5, 15).tolist()
     assert all(rows[e] == e for e in rows.values())
