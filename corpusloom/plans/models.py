@@ -86,8 +86,8 @@ def test_rows(counts):
     return counts.where(F.col("split") == "test")
 
 
-_FIT = dict(k=4, max_iter=10)  # best of the five starts
-TOPICS = range(3, 9)
+_FIT = dict(k=4, max_iter=20)  # best of the five starts
+TOPICS = range(3, 21)
 
 
 @query("lda_topics")
@@ -188,9 +188,9 @@ def ap_clusters(spark, sf):
 
 @query("ap_k_clusters")
 def ap_k_clusters(spark, sf):
-    """A preference within the given range that leads to about 80 clusters."""
+    """The closer of two steps of a bisection of the preference towards 80 clusters."""
     edges, points, twins = similarity_edges(spark, sf)
-    found = AP.affinity_propagation_k(edges, points, 80, prc=0.3, max_runs=2, **_AP)
+    found = AP.affinity_propagation_k(edges, points, 80, prc=0.3, max_runs=2, **{**_AP, "max_rounds": 30})
     return AP.with_copies(found, twins)
 
 
