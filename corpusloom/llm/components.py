@@ -8,34 +8,38 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import stored
 
 
+def _roots(arcs: DataFrame) -> DataFrame:
+    """id, label of every end of arcs (a < b): each points to its least neighbour below it, and
+    pointers are followed to their ends."""
+    ends = arcs.select(F.col("b").alias("id"), "a").unionByName(arcs.select(F.col("a").alias("id"), "a"))
+    labels = stored(ends.groupBy("id").agg(F.min("a").alias("label")), "labels")
+    while True:
+        further = labels.select(F.col("id").alias("label"), F.col("label").alias("next"))
+        step = stored(labels.join(further, "label").select("id", "label", "next"), "labels")
+        labels = step.select("id", F.col("next").alias("label"))
+        if step.filter("label <> next").isEmpty():
+            return labels
+
+
 def connected(links: DataFrame) -> DataFrame:
     """id, label of every end of links (a, b): label is the least id of its component.
 
-    Each round takes the least label among neighbours and follows labels of labels, so rounds grow
-    with the logarithm of the longest path in the common case. Rounds go on until no label changes.
-    Sums and minima are aggregated before they are shuffled, so a node with very many links does
-    not fill a task. No links give an empty table.
+    Each round gives all nodes their root and contracts the links to links between roots, so a star
+    of any size is one node after a round and rounds grow with the logarithm of the nodes at most.
+    Minima are aggregated before they are shuffled, so a node with very many links does not fill a
+    task. No links give an empty table.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    arcs = stored(both.filter("a <> b").distinct(), "arcs")
-    labels = stored(
-        arcs.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("label")),
-        "labels",
-    )
+    pairs = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    arcs = stored(pairs.distinct(), "arcs")
+    found = _roots(arcs)
+    step = found
     while True:
-        least = (
-            arcs.join(labels.select(F.col("id").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("label").alias("near"))
-        )
-        step = labels.join(least, "id").select("id", "label", F.least("label", "near").alias("next"))
-        roots = labels.select(F.col("id").alias("next"), F.col("label").alias("further"))
-        moved = stored(
-            step.join(roots, "next").select(
-                "id", F.least("next", "further").alias("label"), (F.least("next", "further") < F.col("label")).alias("moved")
-            ),
-            "labels",
-        )
-        labels = moved.select("id", "label")
-        if moved.filter("moved").isEmpty():
-            return labels
+        left = step.select(F.col("id").alias("a"), F.col("label").alias("low"))
+        right = step.select(F.col("id").alias("b"), F.col("label").alias("high"))
+        ends = arcs.join(left, "a").join(right, "b").filter("low <> high")
+        arcs = stored(ends.select(F.least("low", "high").alias("a"), F.greatest("low", "high").alias("b")).distinct(), "arcs")
+        if arcs.isEmpty():
+            return found
+        step = _roots(arcs)
+        moved = step.select(F.col("id").alias("label"), F.col("label").alias("root"))
+        found = stored(found.join(moved, "label", "left").select("id", F.coalesce("root", "label").alias("label")), "labels")
