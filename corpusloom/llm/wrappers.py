@@ -7,9 +7,10 @@ slots. The result is the host's wrapper. Streams are counted first, and hosts wi
 ones are aligned in parts whose wrappers are aligned again, so a host of any number of pages is
 shared by many tasks.
 
-Each page is then read through its host's wrapper. Slots in the article are its text; menus,
-headers, footers, asides, forms, adverts, notices and comments are never. On a page without article
-the remaining slots count, except texts that stand in one slot of all such pages of a host.
+Each page is then read through its host's wrapper. Texts that stand in one slot of nearly all
+different pages of a host, in the article or not, are not its text; nor are menus, headers,
+footers, asides, forms, adverts, notices and comments. Of the rest, slots in the article are the
+text. Where the page has more text outside, or no article, all slots are.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import Batches, mapped, stored
 
 LONGEST_GROUP = 16  # symbols of a group that repeats
-WRAPPER_ITEMS = 2_000  # items of a wrapper; texts beyond them have no slot and count as their own
 STREAMS_EACH = 100  # streams or wrappers that one task aligns
 BROADCAST_BYTES = 4 << 20
-FEWEST_PAGES = 3  # without article, to call a text of all of them fixed
+FEWEST_PAGES = 3  # different pages of a host, to call a text of them fixed
+FIXED_SHARE = 0.9  # of them that hold a fixed text
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S
@@ -224,7 +225,7 @@ def aligned(a: list, b: list) -> list:
             left, right = a[x + k], b[y + k]
             out.append(left if isinstance(left, list) and left[0] == "?" else right)
         i, j = x + n, y + n
-    return out[:WRAPPER_ITEMS]
+    return out
 
 
 def slots(symbols: list[str], wrapper: list) -> list[int]:
@@ -306,29 +307,40 @@ def _digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def _placed_digests(symbols: list[str], texts: list[str | None], wrapper: list) -> list[tuple[int, int] | None]:
+    """Slot and digest of each text that is not left out, None for any other symbol; slot -1 is none."""
+    at = slots(symbols, wrapper)
+    return [(a, _digest(" ".join(t.split()))) if s in (ARTICLE, BODY) else None for a, s, t in zip(at, symbols, texts)]
+
+
 def _slot_texts(batches: Batches) -> Batches:
-    """For the pages without article: host, slot, digest of a text there, number of pages with it;
-    slot -2 counts the pages of a host."""
+    """host, whether the page has an article, slot, digest of a text there, digest of the page's
+    texts; one row of slot -2 per page."""
     wrappers: dict[str, list] = {}
     for batch in batches:
-        known: dict[tuple[str, int, int], int] = {}
+        known: set[tuple[str, bool, int, int, int]] = set()
         for host, html, shape in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wrapper"))):
             symbols, texts, _ = stream(html)
-            if ARTICLE in symbols:
-                continue
             if shape not in wrappers:
                 wrappers[shape] = json.loads(shape)
-            for slot, digest in {(-2, 0), *_placed_digests(symbols, texts, wrappers[shape])}:
-                known[host, slot, digest] = known.get((host, slot, digest), 0) + 1
-        hosts, places, digests = zip(*known) if known else ((), (), ())
-        columns = [pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (places, digests, list(known.values())))]
-        yield pa.record_batch(columns, names=["host", "slot", "digest", "n"])
-
-
-def _placed_digests(symbols: list[str], texts: list[str | None], wrapper: list) -> list[tuple[int, int]]:
-    """Slot and digest of each text of the body; a symbol that is no such text gives (-1, 0)."""
-    at = slots(symbols, wrapper)
-    return [(a, _digest(" ".join(t.split()))) if s == BODY else (-1, 0) for a, s, t in zip(at, symbols, texts)]
+            placed = [p for p in _placed_digests(symbols, texts, wrappers[shape]) if p]
+            page = _digest(" ".join(str(digest) for _, digest in placed))
+            known.update((host, ARTICLE in symbols, slot, digest, page) for slot, digest in [(-2, 0), *placed])
+        hosts, kinds, *rest = zip(*known) if known else ((),) * 5
+        columns = [pa.array(hosts, pa.string()), pa.array(kinds, pa.bool_()), *(pa.array(c, pa.int64()) for c in rest)]
+        yield pa.record_batch(columns, names=["host", "article", "slot", "digest", "page"])
+
+
+def _text_slots(symbols: list[str], texts: list[str | None], placed: list, fixed: set[tuple[int, int]]) -> list[bool]:
+    """Whether each symbol is of the main text: not left out, not fixed, and in the article unless
+    the page has more text outside."""
+    free = [p is not None and p not in fixed for p in placed]
+    size = {ARTICLE: 0, BODY: 0}
+    for f, s, t in zip(free, symbols, texts):
+        if f:
+            size[s] += len(" ".join(t.split()))
+    kinds = (ARTICLE,) if size[ARTICLE] >= size[BODY] else (ARTICLE, BODY)
+    return [f and s in kinds for f, s in zip(free, symbols)]
 
 
 def _extract(batches: Batches) -> Batches:
@@ -337,20 +349,35 @@ def _extract(batches: Batches) -> Batches:
         out = []
         for html, shape, fixed in zip(*(batch.column(c).to_pylist() for c in ("html", "wrapper", "fixed"))):
             symbols, texts, blocks = stream(html)
-            if ARTICLE in symbols:
-                keep = [s == ARTICLE for s in symbols]
-            else:
-                if shape not in wrappers:
-                    wrappers[shape] = json.loads(shape)
-                same = {(f["slot"], f["digest"]) for f in fixed or ()}
-                placed = _placed_digests(symbols, texts, wrappers[shape])
-                keep = [s == BODY and p not in same for s, p in zip(symbols, placed)]
-            out.append(joined_blocks(texts, blocks, keep))
+            if shape not in wrappers:
+                wrappers[shape] = json.loads(shape)
+            article = ARTICLE in symbols
+            same = {(f["slot"], f["digest"]) for f in fixed or () if f["article"] == article}
+            placed = _placed_digests(symbols, texts, wrappers[shape])
+            out.append(joined_blocks(texts, blocks, _text_slots(symbols, texts, placed, same)))
         yield pa.record_batch(
             [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"]
         )
 
 
+def fixed_texts(read: DataFrame) -> DataFrame:
+    """host and fixed: slots and digests of the texts that nearly all different pages of it hold.
+
+    Pages with an article and pages without are counted apart; copies of a page count once."""
+    found = mapped(read, _slot_texts, "host string, article boolean, slot long, digest long, page long")
+    key = ["host", "article", "slot", "digest"]
+    counts = stored(found.distinct().groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") >= FEWEST_PAGES), "slots")
+    pages_of = counts.filter("slot = -2").select("host", "article", F.col("n").alias("pages"))
+    return stored(
+        counts.filter("slot <> -2")
+        .join(pages_of, ["host", "article"])
+        .filter(F.col("n") >= FIXED_SHARE * F.col("pages"))
+        .groupBy("host")
+        .agg(F.sort_array(F.collect_list(F.struct("article", "slot", "digest"))).alias("fixed")),  # nearly all on each page
+        "fixed",
+    )
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text of each row of pages (page_id, url, html).
 
@@ -366,15 +393,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     if size <= BROADCAST_BYTES:
         wrappers = F.broadcast(wrappers)
     read = filled.withColumn("host", host).join(wrappers, "host")
-    found = mapped(read.select("host", "html", "wrapper"), _slot_texts, "host string, slot long, digest long, n long")
-    counts = stored(found.groupBy("host", "slot", "digest").agg(F.sum("n").alias("n")), "slots")
-    pages_of = counts.filter("slot = -2").select("host", F.col("n").alias("pages")).filter(F.col("pages") >= FEWEST_PAGES)
-    fixed = (
-        counts.filter("slot <> -2")
-        .join(pages_of, "host")
-        .filter("n = pages")
-        .groupBy("host")
-        .agg(F.sort_array(F.collect_list(F.struct("slot", "digest"))).alias("fixed"))  # all of them on each page
-    )
-    rows = read.join(fixed, "host", "left") if not fixed.isEmpty() else read.withColumn("fixed", F.lit(None).cast("array<struct<slot: bigint, digest: bigint>>"))
+    fixed = fixed_texts(read.select("host", "html", "wrapper"))
+    size = fixed.agg(F.coalesce(F.sum(F.size("fixed")), F.lit(0)).alias("n")).first()["n"] * 20
+    rows = read.join(F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed, "host", "left")
     return mapped(rows.select("page_id", "url", "html", "wrapper", "fixed"), _extract, "page_id long, url string, text string")

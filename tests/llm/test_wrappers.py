@@ -82,3 +82,24 @@ def test_one_wrapper_per_host(spark):
     got = {r["host"]: json.loads(r["wrapper"]) for r in wrappers.infer_wrappers(table(spark, [r for r in PAGES if r[2] is not None])).collect()}
     assert set(got) == {"a.example", "b.example", "c.example", "d.example", "e.example", "f.example", ""}
     assert '["+", "<li", "<a", "#x", "</a", "</li"]' in json.dumps(got["a.example"])
+
+
+def test_fixed_texts_inside_the_article_are_no_text(spark):
+    box = '<div class="more-to-read"><p>Readers also liked this</p></div>'
+    rows = [(i, f"https://g.example/{i}", page(f"Title {i}", [f"text {i} {j}" for j in range(i)], box)) for i in range(1, 6)]
+    rows += [(10 + i, f"https://h.example/{i}", page("Copy", ["the same"])) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in wrappers.main_text(table(spark, rows)).collect()}
+    want = {i: "\n\n".join([f"Title {i}"] + [f"text {i} {j}" for j in range(i)]) for i in range(1, 6)}
+    assert got == want | {10 + i: "Copy\n\nthe same" for i in range(4)}
+
+
+def test_text_outside_a_small_article_is_kept(spark):
+    html = "<body><article><a>Teaser</a></article><div><h1>Main</h1><p>The long text of this page</p></div></body>"
+    small = "<body><article><p>The long text of this page</p></article><div><p>by me</p></div></body>"
+    got = {r["page_id"]: r["text"] for r in wrappers.main_text(table(spark, [(1, "http://i.example/", html), (2, "http://j.example/", small)])).collect()}
+    assert got == {1: "Teaser\n\nMain\n\nThe long text of this page", 2: "The long text of this page"}
+
+
+def test_long_wrappers_are_kept_whole():
+    items = [f"<t{i}" for i in range(3_000)]
+    assert wrappers.aligned(items, items) == items
