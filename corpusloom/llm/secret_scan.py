@@ -3,8 +3,8 @@
 Known forms (assignments to names such as password, access keys, long hexadecimal runs) are found
 by pattern. Beside them, a run of characters of keys that needs many tokens for its length is
 unlike words and names: below `most_chars_per_token` characters per token it counts as random.
-Known digests (hexadecimal runs of usual digest lengths) and identifiers (UUIDs, numbers, names of
-plain word parts) are no secrets by that test.
+Known digests (hexadecimal runs of usual digest lengths) and identifiers (UUIDs, numbers, names whose
+parts are all in the vocabulary, by one token or two long ones) are no secrets by that test.
 """
 
 from __future__ import annotations
@@ -35,13 +35,14 @@ HEX_LENGTH = 32
 KINDS = ("assign", "access", "hex", "random")
 
 MOST_CHARS_PER_TOKEN = 2.0
-RANDOM_LENGTH = 20  # shorter runs hold too few tokens to judge
+RANDOM_LENGTH = 16  # shorter runs hold too few tokens to judge
+NUMBER_LENGTH = 19  # digits of a 64-bit or card number: every number has about two of them a token
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 _UUID = re.compile("[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _ANY_HEX = re.compile("[0-9A-Fa-f]+")
 _RUN = re.compile("[A-Za-z0-9+/_=-]+")
 _PARTS = re.compile("[_/=+-]+")
-_NAME = re.compile("[A-Za-z]?[a-z]*|[A-Z]+|[0-9]{1,8}|v[0-9]+")
+_NUMBER = re.compile("v?[0-9]{0,8}")
 _LIKELY = np.zeros(256, bool)
 _LIKELY[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
 STRETCH = 1 << 20
@@ -53,15 +54,23 @@ def load_encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _is_known(part: str, encoding: tiktoken.Encoding, most: float) -> bool:
+    """Whether part of a name is a short number, one token, or two that are long for tokens of keys."""
+    if _NUMBER.fullmatch(part):
+        return True
+    n = len(encoding.encode_ordinary(part))
+    return n == 1 or n == 2 and len(part) > most * n
+
+
 def is_random(run: str, encoding: tiktoken.Encoding, most: float) -> bool:
     """Whether run (of the characters of keys) is too inefficient to spell for a word or name."""
     if len(run) < RANDOM_LENGTH or _UUID.fullmatch(run):
         return False
     if len(run) in DIGEST_LENGTHS and _ANY_HEX.fullmatch(run):
         return False
-    if all(_NAME.fullmatch(p) for p in _PARTS.split(run)):
+    if len(run) <= NUMBER_LENGTH and run.isdigit() or len(run) > most * len(encoding.encode_ordinary(run)):
         return False
-    return len(run) <= most * len(encoding.encode_ordinary(run))
+    return not all(_is_known(p, encoding, most) for p in _PARTS.split(run))
 
 
 def _likely_runs(data: bytes) -> list[tuple[int, int]]:

@@ -61,3 +61,14 @@ def test_masks(documents, spark):
 def test_no_rows_and_clashing_columns(documents):
     got = secret_scan.scan(documents([]), VOCABULARY)
     assert got.collect() == [] and got.columns.count("spans") == 1
+
+
+def test_random_keys_of_one_case_and_of_16_characters(documents):
+    rnd = random.Random(5)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(rnd.choice(a) for _ in range(n)) for a in (lower, upper, lower + upper + "0123456789") for n in (16, 19, 32) for _ in range(20)]
+    names = ["4111111111111111", "2024-01-31-12-30-59", "user_name-the_time/this-that_v12", "THE_TIME_OF_THIS_YEAR"]
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secret_scan.scan(documents(list(enumerate(keys + names))), VOCABULARY).collect()}
+    found = sum("random" in got[i] for i in range(len(keys)))
+    assert found >= 0.95 * len(keys)
+    assert not any(got[len(keys) + i] for i in range(len(names)))
