@@ -2,7 +2,7 @@
 
 Terms of a text are its words and the beginnings of words, hashed: whether one occurs, occurs
 twice, and occurs often for the length of the text. Terms that tell the classes apart are chosen by
-their chi-square over the training rows. A factorization machine (Spark ML) gives each chosen term
+their chi-square over the training rows, where copies count once. A factorization machine (Spark ML) gives each chosen term
 a weight and a vector; products of vectors stand for pairs of terms, so two terms that are harmless
 alone can be toxic together. It is fitted on at most `most_rows` labelled rows, chosen by hash; all
 texts are scored, each over its whole length.
@@ -25,7 +25,7 @@ from corpusloom.llm.words import PrefixHash, mixed
 SPACE = 1 << 22  # hashed terms
 BEGINNINGS = (5, 6, 7)  # bytes of words
 LEAST_CHI = 30.0  # below this a term can look telling by chance, among so many
-LEAST_SHARE = 0.012  # and this share of the rows: below it, one family of copies can make a term telling
+SETTLED = 1e-3  # change of the parameters in a round, as a share of their length, that ends the fit
 OFTEN = 200  # at least two occurrences, and one per so many words
 STRETCH = 1 << 20
 
@@ -124,20 +124,23 @@ class Model:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_terms: int = 1_000, factors: int = 4, rounds: int = 80
+    docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_terms: int = 1_000, factors: int = 4, rounds: int = 1_000
 ) -> Model:
     """A model of labels (doc_id, toxic 0 or 1) on docs (doc_id, text).
 
     Of a document with several labels the largest counts; null labels and other values are left
-    out. Without rows of both labels the model is the share of label 1 (0 without rows).
+    out. Terms are chosen over distinct texts (their words and label). The fit ends when the
+    parameters settle, at the latest after `rounds`. Without rows of both labels the model is the share of label 1 (0 without rows).
     """
     spark = docs.sparkSession
     marked = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     rows = stored(docs.select("doc_id", text_or_empty()).join(F.broadcast(sample), "doc_id").select("text", "toxic"), "labelled")
     rows = rows.repartition(spark.sparkContext.defaultParallelism)
+    words = F.trim(F.regexp_replace(F.lower("text"), "[\\x00-\\x60\\x7b-\\x7f]+", " "))
+    once = rows.withColumn("_words", F.sha2(words, 256)).dropDuplicates(["_words", "toxic"]).select("text", "toxic")
     counts = (
-        mapped(rows, _term_counts, "term long, ones long, zeros long")
+        mapped(once, _term_counts, "term long, ones long, zeros long")
         .groupBy("term")
         .agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     )
@@ -153,7 +156,7 @@ def fit(
     best = (
         counts.filter("term >= 0")
         .withColumn("chi", chi)
-        .filter(F.col("chi") >= max(LEAST_CHI, LEAST_SHARE * n))
+        .filter(F.col("chi") >= LEAST_CHI)
         .orderBy(F.desc("chi"), "term")
         .limit(most_terms)
     )
@@ -166,7 +169,7 @@ def fit(
     ).setMinTF(1.0)
     data = sparse.transform(lists).select("label", "features").cache()
     machine = FMClassifier(
-        factorSize=factors, maxIter=rounds, stepSize=0.05, regParam=0.0, solver="adamW", seed=7, initStd=0.01
+        factorSize=factors, maxIter=rounds, tol=SETTLED, stepSize=0.05, regParam=0.0, solver="adamW", seed=7, initStd=0.01
     ).fit(data)
     data.unpersist()
     return Model(chosen, float(machine.intercept), machine.linear.toArray(), machine.factors.toArray())

@@ -69,3 +69,15 @@ def test_terms_tell_repeats_and_beginnings():
     owner, term = toxicity.terms(["Wonderful wonderfully", "", "wonderful"], PrefixHash())
     first, last = set(term[owner == 0].tolist()), set(term[owner == 2].tolist())
     assert last < first and not (owner == 1).any()
+
+
+def test_rare_terms_count_however_many_rows_and_copies_count_once(spark, documents):
+    rnd = random.Random(3)
+    words = "time year people way day man thing woman life child world school".split()
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(12))) for i in range(4000)]
+    rows = [(i, t + " rareslur" if i % 2 and i < 76 else t) for i, t in rows]  # 38 of 2,000 toxic rows
+    rows = [(i, "Copied,   family" if i % 2 == 0 and i < 100 else t) for i, t in rows]  # 50 of 2,000 clean rows
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    chosen = set(toxicity.fit(documents(rows), marks, rounds=3).chosen.tolist())
+    rare, copied = (set(toxicity.terms([t], PrefixHash())[1].tolist()) for t in ("rareslur", "copied family"))
+    assert rare <= chosen and not copied & chosen
