@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    cap_filters,
+    centroids,
     chat,
     decontaminate,
     near_dups,
+    oracle,
     packing,
+    prefix_trie,
     secret_scan,
     suffix_dedup,
     token_files,
@@ -130,3 +134,20 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return wrappers.main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op11_clusters", sql=oracle.clusters())
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = stored(centroids.whole_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), dims=64), "whole-vectors")
+    return centroids.cluster_report(vectors, k=8, rounds=10, seed=3)
+
+
+@query("op12_prefix_trie", sql=oracle.TRIE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.trie_nodes(prefix_trie.rebuilt(prefix_trie.conversations_of(turns)))
+
+
+@query("op13_vector_links", sql=oracle.links())
+def op13_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.linked_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.95)
