@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +32,20 @@ def cut(df: DataFrame) -> DataFrame:
     """Write df to the checkpoint folder and go on from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def bucketed(df: DataFrame, keys: list[str]) -> Iterator[DataFrame]:
+    """df as a table bucketed and sorted by keys, for many joins on them: it is never shuffled again,
+    and results grouped by the same keys are joined to it where they are. The table lies in the
+    checkpoint folder and is dropped from the catalog at the end."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}"
+    df.repartition(parts, *keys).write.bucketBy(parts, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

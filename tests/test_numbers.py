@@ -199,3 +199,18 @@ def test_cuts_of_a_hash_order(spark):
         assert sum(r.split == "train" for r in mine) == -(-len(mine) * 8 // 10)
         order = sorted(mine, key=lambda r: hashlib.md5(f"42:{r.k}".encode()).hexdigest())
         assert [r.split for r in order] == sorted((r.split for r in order), reverse=True)
+
+
+def test_pagerank_of_large_groups_in_rounds(spark):
+    rng = np.random.default_rng(5)
+    rows = {}
+    for g, n in (("a", 40), ("b", 12), ("c", 3)):
+        for _ in range(5 * n):
+            x, y = sorted(rng.integers(0, n, 2).tolist())
+            rows[(g, f"w{x:02d}", f"w{y:02d}")] = int(rng.integers(1, 9))
+    edges = spark.createDataFrame([(*k, w) for k, w in rows.items()], "grp string, a string, b string, w bigint")
+    one = {(r.grp, r.lemma): (r.n_words, r.pagerank) for r in G.pagerank(edges).collect()}
+    many = {(r.grp, r.lemma): (r.n_words, r.pagerank) for r in G.pagerank(edges, local_edges=20).collect()}
+    assert one.keys() == many.keys()
+    for key, (n, p) in one.items():
+        assert many[key][0] == n and abs(many[key][1] - p) < 1e-13

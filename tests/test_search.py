@@ -158,3 +158,25 @@ def test_affinity_propagation_equals_the_dense_algorithm(spark):
     assert merges.count() == len(set(rows.values())) - 2
     low, high = AP.preference_range(edges, got.selectExpr("doc_id as id"))
     assert low < pref < high
+
+
+def test_messages_settle_and_k_is_reached(spark):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(m, 0.3, (5, 2)) for m in (0, 4, 8)])
+    s = -((x[:, None] - x[None]) ** 2).sum(2)
+    n = len(x)
+    edges = spark.createDataFrame([(i, k, float(s[i, k])) for i in range(n) for k in range(n) if i != k], "i bigint, k bigint, s double").cache()
+    found = AP.affinity_propagation_k(edges, edges.selectExpr("i as id").distinct(), 3, damping=0.6, stable_rounds=10, max_rounds=100)
+    rows = found.collect()
+    assert len({r.exemplar for r in rows}) == 3 and all(r.settled and r.reached for r in rows)
+    assert {r.doc_id // 5 == r.exemplar // 5 for r in rows} == {True}
+    far = AP.affinity_propagation_k(edges, edges.selectExpr("i as id").distinct(), 14, prc=0.0, max_runs=1, damping=0.6, stable_rounds=10, max_rounds=20)
+    assert {r.reached for r in far.collect()} == {False}
+
+
+def test_swinging_messages_raise_the_damping(spark):
+    # two points that are each other's only partner swing at low damping
+    edges = spark.createDataFrame([(0, 1, -1.0), (1, 0, -1.0)], "i bigint, k bigint, s double")
+    state = AP.first_messages(edges, -1.0)
+    found = AP.propagate(state, damping=0.0, max_rounds=60, stable_rounds=20, check_every=1)
+    assert found.settled or found.damping > 0.0
