@@ -12,8 +12,9 @@ threshold that a table brings together is the same for every such pair (the rota
 measured once on random pairs, and the number of tables follows from the share of such pairs that may
 be missed.
 
-Equal vectors are one class. Classes that share filters meet in the least filter they share, where they
-are verified by their cosine. Large filters are cut into blocks and every pair of blocks is a task of
+Equal vectors are one class. First only the signs of each class on 128 random planes go to its filters:
+a class stays in a filter when another one there has nearly the same signs. Classes that still share
+filters meet in the least filter they share, where they are verified by their cosine. Large filters are cut into blocks and every pair of blocks is a task of
 its own. A task sends, per class, the number of its links and one class it is connected with, never the
 pairs.
 """
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import Batches, mapped, shuffle_parts, stored
 from corpusloom.llm.components import connected
-from corpusloom.operators.joins import salted_lookup
+from corpusloom.operators.joins import salted_lookup, small
 
 LISTED = 2.2  # filters of a table that a vector belongs to, on average
 MISS = 1e-5  # share of pairs just at the threshold that may be missed
@@ -116,6 +117,12 @@ class ProductCode:
             found += len(np.unique(both % len(x)))
         return found / (12 * len(x))
 
+    def signs(self, units: np.ndarray) -> np.ndarray:
+        """Two words of signs of each row: on which side of 128 random planes it lies."""
+        rng = np.random.default_rng([self.seed, self.dims, 1 << 20])
+        sides = units @ rng.normal(size=(self.dims, 128)) > 0
+        return np.packbits(sides, axis=1).view(np.int64)
+
     def lists(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and filter of all tables."""
         found = [self.decode(units, t) for t in range(self.tables)]
@@ -131,14 +138,16 @@ def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _filters(batches: Batches, codes: dict[int, ProductCode]) -> Batches:
-    """class, filter for every filter that a class belongs to."""
+    """class, filter and signs for every filter that a class belongs to."""
     for batch in batches:
         keys = batch.column("class").to_numpy()
         for at, units in _by_length(batch.column("v")):
             code = codes[units.shape[1]]
             for start in range(0, len(at), DECODED):
                 row, name = code.lists(units[start : start + DECODED])
-                yield pa.record_batch([pa.array(keys[at[start + row]]), pa.array(name)], names=["class", "filter"])
+                signs = code.signs(units[start : start + DECODED])[row]
+                columns = [pa.array(c) for c in (keys[at[start + row]], name, signs[:, 0].copy(), signs[:, 1].copy())]
+                yield pa.record_batch(columns, names=["class", "filter", "s0", "s1"])
 
 
 def _least(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -155,12 +164,7 @@ def _least(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _small_groups(units: np.ndarray, earlier: list[np.ndarray], start: np.ndarray, stop: np.ndarray, threshold: float):
     """Pairs of rows of the groups start:stop that are linked, and which of them no earlier filter holds."""
-    size = stop - start
-    group = np.repeat(np.arange(len(start)), size)
-    row = np.arange(len(group)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
-    later = stop[group] - row - 1  # each row goes with the rows after it in its group
-    a = np.repeat(row, later)
-    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(later) - later, later)
+    a, b = _pairs_inside(start, stop)
     near = np.zeros(len(a), bool)
     for at in range(0, len(a), 16_384):
         cut = slice(at, at + 16_384)
@@ -232,6 +236,82 @@ def _usable(v: str = "v"):
     return F.col(v).isNotNull() & F.col("vec_id").isNotNull() & fine & F.exists(v, lambda x: x != 0)
 
 
+def most_signs(threshold: float, planes: int = 128) -> int:
+    """Planes that may part two vectors at the threshold, with a chance below 1e-9 of more."""
+    p = math.acos(threshold) / math.pi
+    tail, k = 1.0, 0
+    while tail > 1e-9:
+        tail -= math.comb(planes, k) * p**k * (1 - p) ** (planes - k)
+        k += 1
+    return k - 1
+
+
+def _near_signs(table: pa.Table, most: int) -> pa.Table:
+    """class, filter of the rows of a group with signs near those of another row of their filter."""
+    table = table.sort_by([("filter", "ascending"), ("class", "ascending")])
+    keys, filters, block = (table.column(c).to_numpy() for c in ("class", "filter", "block"))
+    signs = np.stack([table.column(c).to_numpy() for c in ("s0", "s1")], axis=1)
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    edge = np.flatnonzero(filters[1:] != filters[:-1]) + 1
+    start, stop = np.concatenate([[0], edge]), np.concatenate([edge, [len(keys)]])
+    near = np.zeros(len(keys), bool)
+
+    def compare(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=-1) <= most
+
+    small = (stop - start > 1) & (stop - start <= SMALL) & (i == j)
+    a, b = _pairs_inside(start[small], stop[small])
+    for at in range(0, len(a), 1 << 18):
+        x, y = a[at : at + (1 << 18)], b[at : at + (1 << 18)]
+        hit = compare(signs[x], signs[y])
+        near[x[hit]] = near[y[hit]] = True
+    large = (stop - start > SMALL) | ((i != j) & (stop - start > 1))
+    for s, e in zip(start[large].tolist(), stop[large].tolist()):
+        left = s + np.flatnonzero(block[s:e] == i)
+        right = left if i == j else s + np.flatnonzero(block[s:e] == j)
+        hit = compare(signs[left][:, None], signs[right][None])
+        if i == j:
+            np.fill_diagonal(hit, False)
+        near[left[hit.any(axis=1)]] = near[right[hit.any(axis=0)]] = True
+    return pa.table({"class": keys[near], "filter": filters[near]})
+
+
+def _pairs_inside(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows a < b of the groups start:stop."""
+    size = stop - start
+    group = np.repeat(np.arange(len(start)), size)
+    row = np.arange(len(group)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+    later = stop[group] - row - 1  # each row goes with the rows after it in its group
+    a = np.repeat(row, later)
+    return a, a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(later) - later, later)
+
+
+def _blocks_of(rows: DataFrame, total: int) -> DataFrame:
+    """rows (class, filter, n) once per pair of blocks of their filter, with block, bin, i, j. Filters of
+    one block share groups by hash, pairs of blocks of a larger filter are a group each."""
+    bins = max(1, -(-total // (4 * BLOCK)))
+    blocks = F.ceil(F.col("n") / BLOCK)
+    every = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+        lambda b: F.struct(F.least(F.col("block"), b).alias("i"), F.greatest(F.col("block"), b).alias("j")),
+    )
+    bin_ = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("filter"), F.lit(bins))).otherwise(-F.col("filter") - 1)
+    cut = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    return cut.withColumn("bin", bin_).withColumn("p", F.explode(every)).select("*", "p.i", "p.j").drop("p", "blocks", "n")
+
+
+def _plausible(filed: DataFrame, threshold: float) -> DataFrame:
+    """class, filter of filed where another class of the filter has similar signs. Only signs are sent
+    to the filters; vectors follow to those that are left."""
+    total = filed.count()
+    large = stored(filed.groupBy("filter").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK), "large-filters")
+    sized = filed.join(small(large), "filter", "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
+    most = most_signs(threshold)
+    near = _blocks_of(sized, total).groupBy("bin", "i", "j").applyInArrow(lambda t: _near_signs(t, most), "class long, filter long")
+    # a row of a large filter is seen once per pair of blocks
+    return stored(near.distinct(), "plausible")
+
+
 def _met(filed: DataFrame, classes: DataFrame) -> tuple[DataFrame, int]:
     """class, size, v, filters (filter and its number of classes, ascending) of the classes that share
     filters with others; and how many such (class, filter) there are."""
@@ -245,22 +325,13 @@ def _met(filed: DataFrame, classes: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _meetings(met: DataFrame, rows: int) -> DataFrame:
-    """One row per class, filter and pair of blocks that the class takes part in. Filters of one block
-    share groups by hash, pairs of blocks of a larger filter are a group each."""
-    bins = max(1, -(-rows // (4 * BLOCK)))
+    """One row per class, filter and pair of blocks that the class takes part in."""
     each = met.select("class", "size", "v", "filters", F.posexplode("filters").alias("at", "f"))
-    blocks = F.ceil(F.col("f")["n"] / BLOCK)
     cut = each.select(
-        "class", "size", "v", F.col("f")["filter"].alias("filter"), blocks.alias("blocks"),
-        F.pmod(F.xxhash64("class"), blocks).alias("block"),
+        "class", "size", "v", F.col("f")["filter"].alias("filter"), F.col("f")["n"].alias("n"),
         F.transform(F.slice("filters", F.lit(1), F.col("at")), lambda x: x["filter"]).alias("earlier"),
     )
-    every = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
-        lambda b: F.struct(F.least(F.col("block"), b).alias("i"), F.greatest(F.col("block"), b).alias("j")),
-    )
-    bin_ = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("filter"), F.lit(bins))).otherwise(-F.col("filter") - 1)
-    return cut.select("class", "size", "v", "filter", "block", "earlier", bin_.alias("bin"), F.explode(every).alias("p")).select("*", "p.i", "p.j").drop("p")
+    return _blocks_of(cut, rows)
 
 
 def linked_vectors(vectors: DataFrame, threshold: float = 0.95, miss: float = MISS) -> DataFrame:
@@ -280,8 +351,8 @@ def linked_vectors(vectors: DataFrame, threshold: float = 0.95, miss: float = MI
     lengths = classes.groupBy(F.size("v").alias("length")).count().orderBy("length").collect()  # one row per length
     codes = {r["length"]: ProductCode(r["length"], r["count"], threshold, i, miss=miss) for i, r in enumerate(lengths)}
     spread = classes.select("class", "v").repartition(shuffle_parts(spark))  # decoding is the work, not the reading
-    filed = stored(mapped(spread, partial(_filters, codes=codes), "class long, filter long"), "filters")
-    met, n = _met(filed, classes)
+    filed = stored(mapped(spread, partial(_filters, codes=codes), "class long, filter long, s0 long, s1 long"), "filters")
+    met, n = _met(_plausible(filed, threshold), classes)
     found = stored(
         _meetings(met, n).groupBy("bin", "i", "j").applyInArrow(lambda t: _verify(t, threshold), "class long, links long, other long"),
         "found-links",
