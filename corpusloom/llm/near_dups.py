@@ -23,12 +23,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import Batches, mapped, stored, text_or_empty
 from corpusloom.llm.components import connected
 from corpusloom.llm.words import PrefixHash, mixed, word_bounds
+from corpusloom.operators.joins import salted_lookup
 
 WORDS = 5
 ROWS = 5  # bins per band
@@ -138,20 +139,27 @@ def _groups(keys: list, texts: list[str]):
             at, size = i + 1, 0
 
 
+def text_key(name: str = "text") -> Column:
+    """A hash that tells apart the texts of one doc_id; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(F.col(name), F.lit("")))
+
+
 def _sketch(batches: Batches, bands: int) -> Batches:
     prefix, sketcher = PrefixHash(), Sketcher(bands)
     for batch in batches:
-        for keys, texts in _groups(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        named = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+        for rows, texts in _groups(named, batch.column(1).to_pylist()):
+            keys, marks = zip(*rows)
             sets = shingle_sets(texts, prefix)
             digests = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
             bands_ = [sketcher.keys(s).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
             offsets = np.concatenate([[0], np.cumsum([len(b) for b in bands_])]).astype(np.int32)
             yield pa.record_batch(
                 [
-                    pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(keys, pa.int64()), pa.array(marks, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(digests, pa.int64()), pa.ListArray.from_arrays(offsets, np.concatenate(bands_)),
                 ],
-                names=["doc_id", "n_shingles", "digest", "bands"],
+                names=["doc_id", "text_key", "n_shingles", "digest", "bands"],
             )
 
 
@@ -301,23 +309,36 @@ def _links_of_clusters(bodies: DataFrame, stars: DataFrame, labels: DataFrame, s
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept, text_key.
 
     Documents are linked when 100 * intersection >= percent * union of their sets of shingles;
     component_id is the least doc_id that links reach, kept marks that document. Documents without
     words are linked with nothing. Null texts count as empty; rows that repeat a doc_id
-    and its text are one document; a row without doc_id is linked with nothing, has no component_id
-    and is kept. Other columns are ignored, an empty table gives an empty result.
+    and its text are one document, rows with one doc_id and other texts are documents of their own,
+    told apart by text_key, a hash of the text that follows as a fifth column; a row without doc_id
+    is linked with nothing, has no component_id and is kept. Other columns are ignored, an empty
+    table gives an empty result.
     """
     bands = bands_for(percent / 100)
-    texts = docs.select(F.col("doc_id"), text_or_empty())
+    texts = docs.select(F.col("doc_id"), text_or_empty()).withColumn("text_key", text_key())
     sketches = stored(
-        mapped(texts, partial(_sketch, bands=bands), "doc_id long, n_shingles long, digest long, bands array<long>"),
+        mapped(
+            texts.select("doc_id", "text", "text_key"),
+            partial(_sketch, bands=bands),
+            "doc_id long, text_key long, n_shingles long, digest long, bands array<long>",
+        ),
         "sketches",
     )
-    filled = sketches.filter("n_shingles > 0 and doc_id is not null")
-    classes = filled.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
-    members = classes.select("id", F.explode("bands").alias("bucket"))
+    real = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    filled = sketches.filter(real)
+    # documents with equal sets are one class, named by the digest of the set
+    classes = stored(
+        filled.groupBy(F.col("digest").alias("id"))
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("r"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("n"))
+        .select("id", "r.doc_id", "r.text_key", "n_shingles", "n"),
+        "classes",
+    )
+    members = filled.groupBy(F.col("digest").alias("id")).agg(F.first("bands").alias("bands")).select("id", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = stored(members.join(shared, "bucket"), "buckets")
     central = buckets.groupBy("id").agg(F.sum("n").alias("places"))
@@ -325,17 +346,23 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     stars = stored(
         buckets.join(hubs, "bucket").filter("id <> hub").select("hub", F.col("id").alias("member")).distinct(), "stars"
     )
-    # all comparisons are among documents that share a bucket: their texts are fetched once
-    met = buckets.select("id").distinct()
-    bodies = stored(texts.withColumnRenamed("doc_id", "id").join(met, "id", "left_semi").dropDuplicates(["id"]), "bodies")
+    # all comparisons are among classes that share a bucket: a text of each is fetched once
+    met = classes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "text_key")
+    bodies = stored(texts.join(met, ["doc_id", "text_key"]).select("id", "text").dropDuplicates(["id"]), "bodies")
     links = stored(_confirmed(bodies, stars, percent), "links")
     sizes = classes.select("id", "n_shingles")
     further = stored(_links_of_clusters(bodies, stars, connected(links), sizes, percent), "further-links")
     labels = connected(links.unionByName(further))
-    ids = classes.select(F.col("id"), "digest", "n_shingles").join(labels, "id", "left")
-    groups = ids.select("digest", "n_shingles", F.coalesce("label", "id").alias("component_id"))
-    return (
-        sketches.join(groups, ["digest", "n_shingles"], "left")
-        .withColumn("component_id", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")))
-        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    named = stored(classes.join(labels, "id", "left").select("id", "doc_id", "n", F.coalesce("label", "id").alias("label")), "labelled-classes")
+    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows"))
+    groups = salted_lookup(named.select("id", "n", "label"), least, "label", "rows", F.col("id"))
+    placed = salted_lookup(
+        filled.select("doc_id", "text_key", "n_shingles", F.col("digest").alias("id")),
+        groups.select("id", "n", "component_id"), "id", "n", F.col("doc_id"),
+    )
+    alone = sketches.filter(~F.coalesce(real, F.lit(False))).withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id", "text_key"]
+    every = placed.select(*columns).unionByName(alone.select(*columns))
+    return every.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key"
     )

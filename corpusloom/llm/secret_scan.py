@@ -133,8 +133,8 @@ def _scan(batches: Batches, path: str, most: float) -> Batches:
 def scan(docs: DataFrame, vocabulary: str, most_chars_per_token: float = MOST_CHARS_PER_TOKEN) -> DataFrame:
     """docs with column spans: array of (kind, start, end), ends exclusive, in code points.
 
-    Row by row over the whole text: no shuffle, and no state between rows. A null text is empty and
-    stays null in other uses of the row; an input column named spans is replaced; very long texts
+    Row by row over the whole text: no shuffle, and no state between rows. A null text comes back as an
+    empty one without spans; an input column named spans is replaced; very long texts
     are read whole. vocabulary is the path of a file of tiktoken ranks.
     """
     rest = docs.drop("spans").withColumn("text", text_or_empty())

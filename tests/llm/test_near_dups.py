@@ -76,3 +76,15 @@ def test_empty_table(documents):
 def test_number_of_bands_follows_the_threshold():
     for threshold in (0.8, 0.85, 0.95):
         assert (1 - threshold**near_dups.ROWS) ** near_dups.bands_for(threshold) <= near_dups.MISS
+
+
+def test_one_id_with_several_texts(spark, documents):
+    a = " ".join(f"w{i}" for i in range(80))
+    b = " ".join(f"v{i}" for i in range(80))
+    rows = [(1, a), (1, b), (2, a + " end"), (1, a), (3, b + " end"), (3, "something else altogether and more"), (None, a)]
+    assert result(near_dups.near_duplicates(documents(rows), 80)) == brute(rows, 80)
+    import corpus_pipeline
+
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(rows), "").select("doc_id", "text").collect()
+    want = [(1, a), (1, b), (3, "something else altogether and more"), (None, a)]
+    assert sorted(map(tuple, kept), key=repr) == sorted(want, key=repr)

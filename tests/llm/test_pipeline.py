@@ -71,7 +71,7 @@ def test_secrets_are_masked(spark, folder):
     docs = spark.read.parquet(f"{path}/documents.parquet")
     rows = {r["doc_id"]: r for r in corpus_pipeline.mask_secrets(spark, docs, path).collect()}
     assert len(rows) == docs.count()
-    assert not any(test_secret_scan.base(r["text"]) for r in rows.values())
+    assert not any(test_secret_scan.base(r["text"] or "") for r in rows.values())
     assert rows[6002]["text"] == "plain words only" and rows[6006]["n_chars"] == len(rows[6006]["text"])
 
 
@@ -81,3 +81,20 @@ def test_empty_documents(spark, folder, tmp_path):
         spark.read.parquet(f"{path}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
     spark.read.parquet(f"{path}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_keep_null_texts_and_clashing_columns(spark, folder):
+    path, _, _ = folder
+    kind = "doc_id long, text string, n_chars long, score string, spans string, matches string, _rest string, no_text int"
+    rows = [(1, None, None), (2, "", 0), (3, "plain words and nothing more", 28), (4, "key AKIA" + "X7" * 10, 28), (4, None, 9)]
+    docs = spark.createDataFrame([(*r, "s", "p", "m", "r", 1) for r in rows], kind)
+    same = sorted((tuple(r) for r in docs.collect()), key=repr)
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_contaminated, corpus_pipeline.drop_near_duplicates):
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns and sorted((tuple(r) for r in out.collect()), key=repr) == same, stage.__name__
+    masked = corpus_pipeline.mask_secrets(spark, docs, path)
+    assert masked.columns == docs.columns
+    got = {r: r.text for r in masked.collect()}
+    assert sorted((r.n_chars, r.text) for r in got if r.doc_id == 4 and r.text) == [(12, "key [secret]")]
+    assert sorted((tuple(r) for r in got if r.text is None or r.doc_id != 4), key=repr) == [s for s in same if s[0] != 4 or s[1] is None]
+    assert corpus_pipeline.mask_secrets(spark, docs.limit(0), path).isEmpty()
