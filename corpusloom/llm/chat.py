@@ -158,17 +158,19 @@ def format_trees(messages: DataFrame, best: int = 1) -> DataFrame:
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"),
     )
     one = F.min(F.struct("parent", "role", "text", "score")).alias("m")
-    unique = filled.groupBy("tree", "id").agg(one).select("tree", "id", "m.*")
-    known = unique.select("tree", F.col("id").alias("parent"), F.lit(True).alias("known"))
+    said = stored(filled.groupBy("tree", "id").agg(one).select("tree", "id", "m.*"), "messages")
+    # whose parent is there is found without the texts
+    links = said.select("tree", "id", "parent", "score")
+    known = links.select("tree", F.col("id").alias("parent"), F.lit(True).alias("known"))
     rows = stored(
-        unique.join(known, ["tree", "parent"], "left").select(
-            "tree", "id", F.when(F.col("known"), F.col("parent")).alias("parent"), "role", "text", "score"
+        links.join(known, ["tree", "parent"], "left").select(
+            "tree", "id", F.when(F.col("known"), F.col("parent")).alias("parent"), "score"
         ),
-        "messages",
+        "links",
     )
-    ranked, depths, jumps = branches(rows.select("tree", "id", "parent", "score"))
+    ranked, depths, jumps = branches(rows)
     chosen = stored(ranked.filter(F.col("rank") <= best), "chosen")
-    said = rows.join(depths, ["tree", "id"]).select("tree", "id", "depth", "role", "text")
+    said = said.join(depths, ["tree", "id"]).select("tree", "id", "depth", "role", "text")
     turns = F.transform(
         F.sort_array(F.collect_list(F.struct("depth", "id", "role", "text"))),
         lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")),
