@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions.stem import stem_table
 from corpusloom.functions.words import TOPIC_STOPWORDS
-from corpusloom.operators import classify as C, clusters as AP, dtm as D, lsa, tokens as T, topics as LDA
+from corpusloom.operators import classify as C, clusters as AP, dtm as D, gibbs as GIBBS, lsa, tokens as T, topics as LDA, trees as TREE
 from corpusloom.operators.joins import salted_lookup
 from corpusloom.operators.lineage import cut
 from corpusloom.operators.similarity import distinct_rows, neighbours, vector_content
+from corpusloom.operators.metrics import eval_measures
 from corpusloom.operators.split import random_split, stratified_split
+from corpusloom.operators.topics_tables import after_burn_in, harmonic_mean, top_terms as topic_top_terms
 from corpusloom.plans.catalog import query
 from corpusloom.plans.tables import documents, n_docs, table
+from corpusloom.plans.textclass import feature_rows, labelled_documents, word_vector_means
 from corpusloom.plans.vectors import top_sql, vectors
 
-FACTORS = 20
+FACTORS = 300
+GROUPS = 4  # topics and clusters asked for: the groups of the task
 
 
 def _stemmed(docs, keep=()):
@@ -122,6 +126,63 @@ def lda_metric_table(spark, sf):
     return LDA.metrics_by_k(train, vocabulary, TOPICS, max_iter=10)
 
 
+# --- topics by Gibbs sampling ------------------------------------------------------
+
+
+def topic_counts(spark, sf):
+    """(doc_id, term, tf) of train and test documents over the selected stems."""
+    docs = random_split(documents(spark, sf, "doc_id", "text"), "doc_id")
+    counts = cut(_stemmed(docs, keep=["split"]))
+    train = counts.where(F.col("split") == "train")
+    n = D.row_count(docs.where(F.col("split") == "train"))
+    frequent = D.tfidf_totals(train, n).where(F.col("doc_freq") >= 2)
+    chosen = D.terms_from(cut(frequent), "weight", 0.75)
+    chosen = cut(chosen.where(~F.col("term").isin(TOPIC_STOPWORDS)))
+    kept = [D.keep_terms(part, chosen).select("doc_id", "term", "tf") for part in (train, test_rows(counts))]
+    return cut(kept[0]), cut(kept[1])
+
+
+def sampled(spark, sf, ks, seeds=GIBBS.SEEDS, **options):
+    """A chain of 2,000 rounds for each number of topics and start, and the test documents. Blocks
+    exchange their counts every 100 rounds, as often as the likelihood is kept."""
+    train, test = topic_counts(spark, sf)
+    return GIBBS.fit(train, ks, seeds, together=GIBBS.KEEP, **options), test
+
+
+@query("gibbs_topics")
+def gibbs_topics(spark, sf):
+    """Topic shares of the training documents: four topics, the best of five starts."""
+    model, _ = sampled(spark, sf, [GROUPS])
+    return model.best().doc_topics().select("doc_id", "topic", "p")
+
+
+@query("gibbs_top_terms")
+def gibbs_top_terms(spark, sf):
+    model, _ = sampled(spark, sf, [GROUPS])
+    return topic_top_terms(model.best().topic_terms().select("topic", "term", "p"), 15)
+
+
+@query("gibbs_new_docs")
+def gibbs_new_docs(spark, sf):
+    """Topic shares of the test documents, with the topics of the terms held fixed."""
+    model, test = sampled(spark, sf, [GROUPS])
+    return model.best().infer(test).doc_topics().select("doc_id", "topic", "p")
+
+
+@query("gibbs_choice_of_k")
+def gibbs_choice_of_k(spark, sf):
+    """For 3 to 20 topics: perplexity of the test documents, harmonic mean of the likelihoods after
+    the burn-in, and the mean cosine and Jensen-Shannon divergence of pairs of topics."""
+    return choice_of_k(*sampled(spark, sf, TOPICS, GIBBS.SEEDS[-1:]), GIBBS.BURN_IN)
+
+
+def choice_of_k(model, test, burn_in):
+    fit = GIBBS.perplexity(model, test).select("k", "perplexity")
+    likely = harmonic_mean(after_burn_in(model.trace, burn_in))
+    pairs = GIBBS.topic_distances(model.topic_terms())
+    return fit.join(likely, "k").join(pairs, "k")
+
+
 # --- classification ----------------------------------------------------------------
 
 
@@ -161,13 +222,41 @@ def forest_predictions(spark, sf):
     return fitted.predict(rows.where(F.col("split") == "test"))
 
 
+CPS = C.value_grid(0.0005, 0.02, by=0.0005)
+
+
+def _text_rows(spark, sf):
+    """(doc_id, label, features, split): mean word vectors of documents and their two-way label."""
+    docs = labelled_documents(spark, sf)
+    return feature_rows(docs, word_vector_means(spark, sf, docs))
+
+
+@query("tree_pruned_cv")
+def tree_pruned_cv(spark, sf):
+    """Measures over five folds for every cp, and how many leaves the tree of all rows has at it."""
+    rows = _text_rows(spark, sf).where(F.col("split") == "train").drop("split")
+    found = TREE.cross_validate_pruned(rows, CPS)
+    leaves = spark.createDataFrame([(cp, found.model.leaves(cp), cp == found.best) for cp in CPS], "param double, leaves int, chosen boolean")
+    return found.results("pos").join(leaves, "param")
+
+
+@query("forest_out_of_bag")
+def forest_out_of_bag(spark, sf):
+    """A forest of 1,000 trees: measures on its own rows, out of bag, and on the test rows."""
+    rows = _text_rows(spark, sf)
+    forest = TREE.bagged_forest(rows.where(F.col("split") == "train").drop("split"))
+    test = rows.where(F.col("split") == "test")
+    said = forest.predict(test).join(test.select("doc_id", F.col("label").alias("reference")), "doc_id")
+    inside = forest.out_of_bag().where("prediction is not null").withColumn("part", F.lit("train"))
+    return eval_measures(inside.unionByName(said.withColumn("part", F.lit("test"))), "pos", by=["part"])
+
+
 # --- clustering --------------------------------------------------------------------
 
 # the vectors have no cluster structure, so messages may swing for long; the state after the last
-# round is used then
-_AP = dict(damping=0.7, max_rounds=60, stable_rounds=15, must_settle=False)
+# round is used then, and marked
+_AP = dict(must_settle=False)
 NEAREST = 10  # similarities per point that the graph is made of
-GROUPS = 4  # clusters asked for: the groups of the task
 
 
 def similarity_edges(spark, sf, m=NEAREST, measure="cosine"):
@@ -188,9 +277,9 @@ def ap_clusters(spark, sf):
 
 @query("ap_k_clusters")
 def ap_k_clusters(spark, sf):
-    """The closer of two steps of a bisection of the preference towards 80 clusters."""
+    """The preference searched for the number of groups of the task; `reached` says whether it was."""
     edges, points, twins = similarity_edges(spark, sf)
-    found = AP.affinity_propagation_k(edges, points, 80, prc=0.3, max_runs=2, **{**_AP, "max_rounds": 30})
+    found = AP.affinity_propagation_k(edges, points, GROUPS)
     return AP.with_copies(found, twins)
 
 

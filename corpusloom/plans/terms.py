@@ -137,8 +137,8 @@ def tfidf_drop_up_to(spark, sf):
 
 @query(
     "tfidf_drop_below_keep_counts",
-    f"""WITH {DTM_SQL}, {_ROUNDED} SELECT doc_id, term, tf FROM dtm
-    JOIN (SELECT term FROM rw, cutoff WHERE weight >= q) USING (term)""",
+    f"""WITH {DTM_SQL}, {_ROUNDED}, kept AS MATERIALIZED (SELECT term FROM rw WHERE weight >= (SELECT q FROM cutoff))
+    SELECT doc_id, term, tf FROM dtm JOIN kept USING (term)""",
 )
 def tfidf_drop_below_keep_counts(spark, sf):
     """Chosen by weight, kept as counts; terms at the threshold stay."""
@@ -266,8 +266,8 @@ def empty_docs(spark, sf):
 
 @query(
     "log_entropy",
-    f"""WITH {DTM_SQL}, p AS (SELECT term, tf / sum(tf) OVER (PARTITION BY term) AS p FROM dtm),
-    e AS (SELECT term, -sum(p * ln(p)) AS entropy, count(*) AS doc_freq FROM p GROUP BY term)
+    f"""WITH {DTM_SQL},
+    e AS MATERIALIZED (SELECT term, ln(sum(tf)) - sum(tf * ln(tf)) / sum(tf) AS entropy, count(*) AS doc_freq FROM dtm GROUP BY term)
     SELECT doc_id, term, CASE WHEN doc_freq > 1 THEN round(ln(tf + 1) / entropy, 6) END AS w FROM dtm JOIN e USING (term)""",
 )
 def log_entropy(spark, sf):

@@ -151,6 +151,11 @@ def test_affinity_propagation_equals_the_dense_algorithm(spark):
         AP.affinity_propagation(edges, q=0.5, damping=0.5, max_rounds=5, stable_rounds=100)
     rows = {r.doc_id: r.exemplar for r in got.collect()}
     assert [rows[i] for i in range(n)] == dense_ap(s, pref, 0.5, 15).tolist()
+    start = AP.first_messages(edges, pref)  # the same messages in one task and over all tasks
+    here, there = (
+        {(r.i, r.k): (r.r, r.a) for r in AP.propagate(start, 0.5, 15, local_edges=m).state.collect()} for m in (10_000, 0)
+    )
+    assert here.keys() == there.keys() and all(np.allclose(here[e], there[e], atol=1e-12) for e in here)
     assert all(rows[e] == e for e in rows.values())
     assert len(set(rows.values())) >= 3
     merged, merges = AP.agglomerate(edges, got, 2)
