@@ -55,6 +55,47 @@ def test_neighbours_of_new_rows(spark, small_blocks):
     assert {(r.i, r.j, r["rank"]) for r in got.collect()} == brute(scores(y, x, "cosine"), 3, False)
 
 
+def spied(monkeypatch):
+    """Rows that _tiled sends, one number per call."""
+    sent, tiled = [], SIM._tiled
+
+    def spy(*args):
+        rows = tiled(*args)
+        sent.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(SIM, "_tiled", spy)
+    return sent
+
+
+def test_blocks_are_sent_once_per_tile(spark, monkeypatch):
+    """Random vectors, of which nothing can be ruled out: 41 x 41 pairs of blocks, 14 x 7 tasks."""
+    for name, value in (("BLOCK", 2), ("TILE", 3), ("STREAM", 6)):
+        monkeypatch.setattr(SIM, name, value)
+    monkeypatch.setattr(SIM, "MAX_PIVOTS", 1)
+    sent = spied(monkeypatch)
+    x = np.random.default_rng(3).normal(size=(82, 6))
+    got = SIM.neighbours(frame(spark, x), 4)
+    assert {(r.i, r.j, r["rank"]) for r in got.collect()} == brute(scores(x, x, "cosine"), 4, True)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    assert sent[0] <= 41 * (14 + max(7, -(-tasks // 14)) + 1) < 2 * 41 * 41
+
+
+def test_extremes_over_many_tiles(spark, monkeypatch):
+    for name, value in (("BLOCK", 2), ("TILE", 3), ("STREAM", 6)):
+        monkeypatch.setattr(SIM, name, value)
+    sent = spied(monkeypatch)
+    x = np.random.default_rng(4).normal(size=(60, 6))
+    c = np.arange(len(x)) % 3
+    rows = [(i, int(c[i]), x[i].tolist()) for i in range(len(x))]
+    got = SIM.extreme_distances(spark.createDataFrame(rows, "id bigint, cluster int, vec array<double>")).head()
+    d, off = 1 - x @ x.T / np.outer(*[np.sqrt((x * x).sum(1))] * 2), ~np.eye(len(x), dtype=bool)
+    same = c[:, None] == c[None, :]
+    assert got.max_diameter == pytest.approx(d[same & off].max(), abs=1e-12)
+    assert got.min_separation == pytest.approx(d[~same].min(), abs=1e-12)
+    assert sent
+
+
 def test_pairs_above_a_threshold(spark, small_blocks):
     x = np.unique(planted(), axis=0)
     pairs, _ = SIM.similar_pairs(frame(spark, x), 0.8)
