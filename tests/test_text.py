@@ -100,3 +100,12 @@ def test_read_word_vectors(spark, tmp_path):
     (tmp_path / "v.txt").write_text("the 0.5 -1.25\ncat 1 2\n")
     rows = {r.term: list(r.vec) for r in read_word_vectors(spark, str(tmp_path / "v.txt")).collect()}
     assert rows == {"the": [0.5, -1.25], "cat": [1.0, 2.0]}
+
+
+def test_text_of_a_task_is_bounded(spark, monkeypatch):
+    """Ten times the text makes ten times the tasks, whatever the settings of the session."""
+    monkeypatch.setattr(T, "TEXT_BYTES", 1000)
+    rows = spark.createDataFrame([(i, "word " * 20) for i in range(200)] + [(200, None)], "doc_id bigint, text string")
+    assert T.colocate(rows).rdd.getNumPartitions() == 20
+    assert T.colocate(rows.where("doc_id < 20")).rdd.getNumPartitions() == 2
+    assert T.colocate(rows.where("false")).rdd.getNumPartitions() == 1
