@@ -226,3 +226,34 @@ def test_swinging_messages_raise_the_damping(spark):
     state = AP.first_messages(edges, -1.0)
     found = AP.propagate(state, damping=0.0, max_rounds=60, stable_rounds=20, check_every=1)
     assert found.settled or found.damping > 0.0
+
+
+def test_merges_here_and_over_all_tasks_are_the_same(spark):
+    """Chains of clusters, a member without edges, ties; the table in one task merges in one job."""
+    rng = np.random.default_rng(11)
+    pairs = {(int(min(a, b)), int(max(a, b))) for a, b in rng.integers(0, 40, (110, 2)) if a != b}
+    rows = [(i, k, float(round(rng.random(), 1))) for i, k in sorted(pairs)]
+    edges = AP.both_ways(spark.createDataFrame(rows, "i bigint, j bigint, s double"))
+    assigned = spark.createDataFrame([(i, i - i % 2) for i in range(42)], "doc_id bigint, exemplar bigint")
+    for clusters in (12, 3):
+        here, there = (AP.agglomerate(edges, assigned, clusters, n) for n in (AP.LOCAL_EDGES, 0))
+        assert len(here[1].collect()) > 0
+        for one, other in zip(here, there):
+            assert sorted((tuple(round(x, 9) for x in r) for r in one.collect())) == sorted(
+                (tuple(round(x, 9) for x in r) for r in other.collect())
+            )
+        assert here[1].columns == there[1].columns
+
+
+def test_steps_in_one_task_start_no_jobs(spark):
+    """A chain of 12 points, each nearest to the next, takes many steps."""
+    edges = AP.both_ways(spark.createDataFrame([(i, i + 1, float(i)) for i in range(11)], "i bigint, j bigint, s double"))
+    assigned = spark.createDataFrame([(i, i) for i in range(12)], "doc_id bigint, exemplar bigint")
+    group = "merges-in-one-task"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        _, merges = AP.agglomerate(edges, assigned, 1)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert merges.agg({"step": "max"}).head()[0] >= 8 and jobs < 40
