@@ -143,6 +143,44 @@ def test_word_vector_features(spark):
     assert E.minmax_features(dtm, vec, 1, F.lit(3)).head().features == [0.0, 2.0]
 
 
+def test_word_vector_features_against_plain_sums(spark, monkeypatch):
+    monkeypatch.setattr(E, "BLOCK_CELLS", 60)
+    monkeypatch.setattr(E, "STRETCH", 7)
+    rng = np.random.default_rng(3)
+    words = {f"w{i}": rng.normal(size=3) for i in range(30)}
+    table = [(t, v.tolist()) for t, v in words.items()] + [("w1", words["w1"].tolist()), ("w2", None), ("w3", [None, 1.0, None])]
+    cells = [(d, f"w{t}", int(rng.integers(1, 5))) for d in [None, *range(40)] for t in rng.choice(40, 6, replace=False)]
+    vec = spark.createDataFrame(table, "term string, vec array<double>")
+    dtm = spark.createDataFrame([*cells, (99, "none", 1), (98, "w1", 1)], "doc_id bigint, term string, tf bigint")
+    sums = {r.doc_id: r.features for r in E.mean_features(dtm, vec, 3, F.lit(2)).collect()}
+    ends = {r.doc_id: r.features for r in E.minmax_features(dtm, vec, 3, F.lit(4)).collect()}
+    met = {}
+    for d, t, tf in [*cells, (98, "w1", 1)]:
+        for _, v in (row for row in table if row[0] == t):
+            met.setdefault(d, []).append([None if x is None else tf * x for x in v or [None] * 3])
+    assert sums.keys() == ends.keys() == met.keys()
+    for d, rows in met.items():
+        seen = [[r[i] for r in rows if r[i] is not None] for i in range(3)]
+        assert sums[d] == pytest.approx([sum(s) / 2 for s in seen])
+        zero = [0.0] if len(rows) < 4 else []
+        assert ends[d] == pytest.approx([min(s + zero) for s in seen] + [max(s + zero) for s in seen])
+
+
+def test_word_vectors_are_sent_once_per_block(spark, monkeypatch):
+    sent, real = [], E._sent
+
+    def spy(*args):
+        rows = real(*args)
+        sent.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(E, "_sent", spy)
+    dtm = spark.range(300).selectExpr("id as doc_id", "explode(sequence(1, 20)) as n").selectExpr("doc_id", "concat('w', n) as term", "1L as tf")
+    vec = spark.range(1, 21).selectExpr("concat('w', id) as term", "array(1D) as vec")
+    assert {tuple(r.features) for r in E.mean_features(dtm, vec, 1, F.lit(20)).collect()} == {(1.0,)}
+    assert sent == [20]  # 6,000 cells in one block of 20 words
+
+
 def test_knn_votes(spark):
     edges = spark.createDataFrame([(1, 2, 0.1), (1, 3, 0.2), (1, 4, 0.3), (1, 1, 0.0)], "i bigint, j bigint, d double")
     labels = spark.createDataFrame([(2, "b"), (3, "a"), (4, "a")], "j bigint, label string")
