@@ -57,9 +57,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced by a mark and n_chars counted anew."""
     found = secret_scan.scan(_bare(docs), public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    clean = secret_scan.masked(F.col("text"), F.col("spans"))
-    count = F.when(F.size("spans") > 0, F.length(clean).cast("long")).otherwise(F.col("_rest.of")["n_chars"])
-    return _whole(found, docs.columns, text=F.when(~F.col("_rest.no_text"), clean), n_chars=count)
+    # a column of its own: beside a new `text`, expressions inside the mask would read that one
+    clean = found.withColumn("_clean", secret_scan.masked(F.col("text"), F.col("spans")))
+    count = F.when(F.size("spans") > 0, F.length("_clean").cast("long")).otherwise(F.col("_rest.of")["n_chars"])
+    return _whole(clean, docs.columns, text=F.when(~F.col("_rest.no_text"), F.col("_clean")), n_chars=count)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
