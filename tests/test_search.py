@@ -81,6 +81,17 @@ def test_blocks_are_sent_once_per_tile(spark, monkeypatch):
     assert sent[0] <= 41 * (14 + max(7, -(-tasks // 14)) + 1) < 2 * 41 * 41
 
 
+def test_few_blocks_make_about_as_many_tiles_as_streams(spark, monkeypatch):
+    """41 blocks would fit in one tile, which every task would be sent whole."""
+    monkeypatch.setattr(SIM, "BLOCK", 2)
+    monkeypatch.setattr(SIM, "MAX_PIVOTS", 1)
+    sent = spied(monkeypatch)
+    x = np.random.default_rng(3).normal(size=(82, 6))
+    got = SIM.neighbours(frame(spark, x), 4)
+    assert {(r.i, r.j, r["rank"]) for r in got.collect()} == brute(scores(x, x, "cosine"), 4, True)
+    assert sent[0] < 41 * 4 * spark.sparkContext.defaultParallelism / 2
+
+
 def test_extremes_over_many_tiles(spark, monkeypatch):
     for name, value in (("BLOCK", 2), ("TILE", 3), ("STREAM", 6)):
         monkeypatch.setattr(SIM, name, value)
